@@ -158,15 +158,15 @@ runs AS (
          count(*) AS steps, avg(loss) AS mean_loss
   FROM log GROUP BY run_id
 )
-SELECT run_id, round(runtime, 6) AS runtime, steps, round(mean_loss, 6) AS mean_loss,
-       round(steps / nullif(runtime, 0), 6) AS steps_per_second,
-       round(steps / nullif(runtime, 0) * 8, 6) AS samples_per_second
+SELECT run_id, round(runtime, 6) AS runtime, steps, round(mean_loss, 9) AS mean_loss,
+       round(steps / nullif(runtime, 0), 9) AS steps_per_second,
+       round(steps / nullif(runtime, 0) * 8, 9) AS samples_per_second
 FROM runs""",
 )
 def run_throughput(spark, sf_dir):
     result = G.run_throughput(A.run_log(spark, sf_dir), samples_per_step=8)
-    rates = ["runtime", "mean_loss", "steps_per_second", "samples_per_second"]
-    return result.withColumns({c: F.round(c, 6) for c in rates})
+    places = {"runtime": 6, "mean_loss": 9, "steps_per_second": 9, "samples_per_second": 9}
+    return result.withColumns({c: F.round(c, n) for c, n in places.items()})
 
 
 @query(

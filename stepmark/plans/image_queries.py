@@ -31,10 +31,11 @@ def page_refs(spark, sf_dir) -> DataFrame:
     """(page_id, ref): references of every kind; one in five pages keeps its own address."""
     page = F.col("page_id")
     number = page.cast("string")
+    one_line = F.translate(F.base64(F.encode("html", "UTF-8")), "\r\n", "")
     return A.table(spark, sf_dir, "pages").select(
         page,
         F.when(page % 5 == 0, F.concat(F.lit("file:///data/page "), number, F.lit(".png")))
-        .when(page % 5 == 1, F.concat(F.lit("data:image/png;base64,"), F.base64(F.encode("html", "UTF-8"))))
+        .when(page % 5 == 1, F.concat(F.lit("data:image/png;base64,"), one_line))
         .when(page % 5 == 2, F.concat(F.lit("data:image/svg+xml,"), "html"))
         .when(page % 5 == 3, F.concat(F.lit("/data/v."), number, F.lit("/page.tar.gz")))
         .otherwise(F.col("url"))

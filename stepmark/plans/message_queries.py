@@ -32,7 +32,7 @@ FROM {items}"""
 @query(
     "clean_items_media_first",
     f"""WITH {sql.ITEMS}
-SELECT doc_id, msg AS message_pos, role,
+SELECT doc_id, msg::INTEGER AS message_pos, role,
        (row_number() OVER (PARTITION BY doc_id, msg ORDER BY {sql.MEDIA_FIRST}) - 1)::INTEGER AS item_pos,
        type, text, image
 FROM usable""",

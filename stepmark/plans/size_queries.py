@@ -69,7 +69,7 @@ def _side(side: str) -> str:
 
 @query(
     "pixel_budget",
-    f"""WITH {sql.DIMS} SELECT {_KEYS}, {_LOW} AS low, {_HIGH} AS high,
+    f"""WITH {sql.DIMS} SELECT {_KEYS}, ({_LOW})::BIGINT AS low, ({_HIGH})::BIGINT AS high,
 {_side('height')} AS new_height, {_side('width')} AS new_width FROM dims""",
 )
 def pixel_budget(spark, sf_dir):
