@@ -89,12 +89,18 @@ def requested_size(
     min_pixels: Column,
     max_pixels: Column,
     default: PixelBounds = CONVERSION,
-    factor: int = FACTOR,
-) -> Column:
-    """Plan from the requested sides if both are given, then with default bounds only."""
+) -> dict[str, Column]:
+    """What to plan from, as columns plan_height, plan_width, plan_min and plan_max.
+
+    The requested sides if both are given, then with default bounds only; else the image's own
+    sides and bounds. Add the columns first and plan from them after, so that each is computed
+    once.
+    """
+    requested = resized_height.isNotNull() & resized_width.isNotNull()
     low, high = pixel_budget(min_pixels, max_pixels, default)
-    own = resize_plan(height, width, low, high, factor)
-    asked = resize_plan(
-        resized_height, resized_width, F.lit(default.min_pixels), F.lit(default.max_pixels), factor
-    )
-    return F.when(resized_height.isNotNull() & resized_width.isNotNull(), asked).otherwise(own)
+    return {
+        "plan_height": F.when(requested, resized_height).otherwise(height),
+        "plan_width": F.when(requested, resized_width).otherwise(width),
+        "plan_min": F.when(requested, F.lit(default.min_pixels)).otherwise(low),
+        "plan_max": F.when(requested, F.lit(default.max_pixels)).otherwise(high),
+    }

@@ -18,7 +18,8 @@ WHITE_SPACE = (
 )
 
 # The marks stay whole; else a run of ASCII word characters or one other visible character.
-TOKEN_PATTERN = r"(<\+>|<->|<image>|[A-Za-z0-9_]+|[^A-Za-z0-9_ \t\r\n])"
+# (\w is ASCII here, and far faster than the same class written out.)
+TOKEN_PATTERN = r"(<\+>|<->|<image>|\w+|[^\w \t\r\n])"
 
 
 def trim_text(text: Column) -> Column:

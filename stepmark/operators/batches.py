@@ -140,16 +140,23 @@ def _padded(values: Column, length: Column, fill: int, side: str) -> Column:
 
 
 def pad_to_longest(
-    df: DataFrame, pad_id: int, batch: str = "micro_batch", ids: str = "ids", labels: str = "labels", side: str = "right"
+    df: DataFrame,
+    pad_id: int,
+    batch: str = "micro_batch",
+    ids: str = "ids",
+    labels: str | None = None,
+    side: str = "right",
 ) -> DataFrame:
-    """Pad ids with `pad_id` and labels with the ignored mark to the longest ids of the batch."""
+    """Pad ids with `pad_id` to the longest ids of the batch.
+
+    Labels are best derived from the padded ids, so that only ids are shuffled. Where they
+    exist already, name them to have them padded with the ignored mark.
+    """
     longest = F.max(F.size(ids)).over(W.partitionBy(batch))
-    return (
-        df.withColumn("_longest", longest)
-        .withColumn(labels, _padded(F.col(labels), F.col("_longest"), IGNORED, side))
-        .withColumn(ids, _padded(F.col(ids), F.col("_longest"), pad_id, side))
-        .drop("_longest")
-    )
+    padded = df.withColumn("_longest", longest)
+    if labels is not None:
+        padded = padded.withColumn(labels, _padded(F.col(labels), F.col("_longest"), IGNORED, side))
+    return padded.withColumn(ids, _padded(F.col(ids), F.col("_longest"), pad_id, side)).drop("_longest")
 
 
 def batch_collate(

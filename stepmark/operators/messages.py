@@ -76,8 +76,9 @@ def resolve_image_index(messages: Column, images: Column) -> Column:
 
 def dropped_index_report(df: DataFrame, key: str) -> DataFrame:
     """Image items whose index has no image: one row per item, with its place and index."""
-    items = df.select(key, "images", F.posexplode("messages").alias("message_pos", "m")).select(
-        key, "images", "message_pos", F.posexplode("m.content").alias("item_pos", "item")
+    messages = df.select(key, "images", F.posexplode_outer("messages").alias("message_pos", "m"))
+    items = messages.select(
+        key, "images", "message_pos", F.posexplode_outer("m.content").alias("item_pos", "item")
     )
     return items.where((F.col("item.type") == "image") & _image_at(F.col("images"), F.col("item")).isNull()).select(
         key, "message_pos", "item_pos", F.coalesce("item.index", F.lit(0)).alias("image_index")

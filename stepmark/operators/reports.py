@@ -38,12 +38,12 @@ def token_status(
     listed = vocab_reverse_lookup(df.select(key, ids, labels), vocab, key, ids, "_tokens")
     positions = listed.select(
         key,
-        F.posexplode(
+        F.posexplode_outer(
             F.arrays_zip(
                 F.col(ids).alias("token_id"), F.col(labels).alias("label"), F.col("_tokens").alias("token")
             )
         ).alias("pos", "t"),
-    ).select(key, "pos", "t.token_id", "t.label", "t.token")
+    ).where(F.col("pos").isNotNull()).select(key, "pos", "t.token_id", "t.label", "t.token")
     status = (
         F.when(F.col("label") == IGNORED, "MASKED")
         .when(F.col("token_id") == good_id, "GOOD_TOKEN")

@@ -27,7 +27,10 @@ def build_vocab(tokens: DataFrame, size: int) -> DataFrame:
     Counting combines per task before the shuffle, so frequent tokens cost no more than others;
     numbering runs over the `size` rows of the result only.
     """
-    counts = tokens.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    # Outer, with the empty rows filtered after: a plain explode adds a filter on the size of the
+    # array, and with it computes the tokens a second time.
+    exploded = tokens.select(F.explode_outer("tokens").alias("token")).where(F.col("token").isNotNull())
+    counts = exploded.groupBy("token").agg(F.count("*").alias("n"))
     top = counts.orderBy(F.desc("n"), "token").limit(size)
     token_id = F.row_number().over(W.orderBy(F.desc("n"), "token")) - 1
     return top.select("token", token_id.cast("int").alias("token_id"))
@@ -166,7 +169,7 @@ def lookup_by_join(
     Frequent tokens are split over tasks by the salted join. `key` must be unique; only the key
     and the list take part, the other columns join back at the end.
     """
-    elements = df.select(key, F.posexplode(values).alias("pos", vocab_key))
+    elements = df.select(key, F.posexplode_outer(values).alias("pos", vocab_key)).where(F.col("pos").isNotNull())
     found = salted_left_join(
         elements, vocab.select(vocab_key, vocab_result), vocab_key, [key, "pos"], rows_per_task
     )

@@ -124,7 +124,7 @@ padded AS (
 SELECT doc_id, idx // 2 AS micro_batch, ids, labels FROM padded""",
 )
 def pad_to_longest(spark, sf_dir):
-    return B.pad_to_longest(batched(spark, sf_dir), PAD_ID).select(
+    return B.pad_to_longest(batched(spark, sf_dir), PAD_ID, labels="labels").select(
         "doc_id", "micro_batch", joined("ids").alias("ids"), joined("labels").alias("labels")
     )
 
@@ -137,7 +137,7 @@ SELECT idx // 2 AS micro_batch, count(*)::INTEGER AS n_rows, string_agg(ids, ';'
 FROM padded GROUP BY idx // 2""",
 )
 def batch_collate(spark, sf_dir):
-    collated = B.batch_collate(B.pad_to_longest(batched(spark, sf_dir), PAD_ID))
+    collated = B.batch_collate(B.pad_to_longest(batched(spark, sf_dir), PAD_ID, labels="labels"))
 
     def flat(column: str):
         return F.array_join(F.transform(column, lambda r: F.array_join(r.cast("array<string>"), ",")), ";")

@@ -50,9 +50,8 @@ def training_batches(
 ) -> DataFrame:
     """Examples to padded batches in which only the `keep` ids count."""
     encoded = T.vocab_lookup(rendered_text(df), vocab, key).select(key, "ids")
-    labelled = encoded.withColumn("labels", L.mask_keep(F.col("ids"), keep))
-    batched = B.assign_batch(B.global_index(labelled, key), plan)
-    return B.batch_collate(B.pad_to_longest(batched, pad_id))
+    padded = B.pad_to_longest(B.assign_batch(B.global_index(encoded, key), plan), pad_id)
+    return B.batch_collate(padded.withColumn("labels", L.mask_keep(F.col("ids"), keep)))
 
 
 def indexed_batches(
@@ -62,6 +61,5 @@ def indexed_batches(
     resolved = df.withColumn("messages", M.resolve_image_index(F.col("messages"), F.col("images")))
     tokens = resolved.select(key, tokenize_text(M.render_chat(F.col("messages"), strip=True)).alias("tokens"))
     encoded = T.vocab_lookup(tokens, vocab, key).select(key, "ids")
-    labelled = encoded.withColumn("labels", L.mask_drop(F.col("ids"), [*drop, pad_id]))
-    batched = B.assign_batch(B.global_index(labelled, key), plan)
-    return B.batch_collate(B.pad_to_longest(batched, pad_id))
+    padded = B.pad_to_longest(B.assign_batch(B.global_index(encoded, key), plan), pad_id)
+    return B.batch_collate(padded.withColumn("labels", L.mask_drop(F.col("ids"), [*drop, pad_id])))

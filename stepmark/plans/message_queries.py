@@ -16,8 +16,9 @@ from stepmark.plans.catalog import query
 def item_rows(df: DataFrame, messages: Column) -> DataFrame:
     """Messages as flat rows: place of the message and item, role, type, text, image."""
     return (
-        df.select("doc_id", F.posexplode(messages).alias("message_pos", "m"))
-        .select("doc_id", "message_pos", "m.role", F.posexplode("m.content").alias("item_pos", "i"))
+        df.select("doc_id", F.posexplode_outer(messages).alias("message_pos", "m"))
+        .select("doc_id", "message_pos", "m.role", F.posexplode_outer("m.content").alias("item_pos", "i"))
+        .where(F.col("item_pos").isNotNull())
         .select("doc_id", "message_pos", "role", "item_pos", "i.type", "i.text", "i.image")
     )
 

@@ -94,5 +94,6 @@ def _requested(side: str) -> str:
 )
 def requested_size(spark, sf_dir):
     columns = ["height", "width", "resized_height", "resized_width", "min_pixels", "max_pixels"]
-    plan = S.requested_size(*[F.col(c) for c in columns])
-    return A.dims(spark, sf_dir).select(*KEYS, *_planned(plan))
+    chosen = A.dims(spark, sf_dir).withColumns(S.requested_size(*[F.col(c) for c in columns]))
+    plan = S.resize_plan(*[F.col(c) for c in ("plan_height", "plan_width", "plan_min", "plan_max")])
+    return chosen.select(*KEYS, *_planned(plan))

@@ -13,6 +13,7 @@ from stepmark.operators.batches import seeded_hash
 from stepmark.plans import adapters as A
 from stepmark.plans import sql
 from stepmark.plans.catalog import query
+from stepmark.session import spread
 
 
 def joined(column: str):
@@ -285,5 +286,5 @@ def utf8_bytes():
 @query("tokenizer_plugin", "SELECT doc_id, strlen(text)::INTEGER AS n_ids FROM documents")
 def tokenizer_plugin(spark, sf_dir):
     encode = T.tokenizer_plugin(utf8_bytes)
-    docs = A.table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(A.table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return docs.select("doc_id", F.size(encode("text")).alias("n_ids"))

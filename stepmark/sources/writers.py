@@ -36,7 +36,7 @@ def publish_version(df: DataFrame, root: str, name: str, version: str, key: str)
         .withColumn("schema_json", F.lit(df.schema.json()))
         .withColumn("version", F.lit(version))
     )
-    manifest_path = f"{root.rstrip('/')}/{name}/manifest/v={version}"
+    manifest_path = f"{root.rstrip('/')}/{name}/_manifest/v={version}"  # not listed with the versions
     manifest.coalesce(1).write.mode("errorifexists").parquet(manifest_path)
     return spark.read.schema(manifest.schema).parquet(manifest_path)
 
