@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stepmark.functions.refs import derive_resized_path
@@ -128,13 +128,17 @@ def resample(pixels: np.ndarray, height: int, width: int) -> np.ndarray:
     return np.clip(np.rint(_resample_axis(across, height)), 0, 255).astype(np.uint8)
 
 
-def images_resize(rgb: DataFrame, suffix: str = "resized", bounds: PixelBounds = CONVERSION) -> DataFrame:
+def images_resize(
+    rgb: DataFrame, suffix: str = "resized", bounds: PixelBounds = CONVERSION, plan: Column | None = None
+) -> DataFrame:
     """RGB images at their planned size under their derived path.
 
-    The plan is computed as columns; only pixels go through Arrow. Size and data are NULL where
-    the image was unreadable or its sides cannot be planned.
+    The plan is computed as columns; only pixels go through Arrow. `plan` replaces the default
+    one where rows have bounds or requested sides of their own. Size and data are NULL where the
+    image was unreadable or its sides cannot be planned.
     """
-    plan = resize_plan(F.col("height"), F.col("width"), F.lit(bounds.min_pixels), F.lit(bounds.max_pixels))
+    if plan is None:
+        plan = resize_plan(F.col("height"), F.col("width"), F.lit(bounds.min_pixels), F.lit(bounds.max_pixels))
     planned = rgb.select(
         "path",
         derive_resized_path(F.col("path"), suffix).alias("derived_path"),

@@ -16,18 +16,21 @@ def write_sharded(df: DataFrame, path: str, shards: int | None = None) -> None:
     out.write.mode("errorifexists").parquet(path)
 
 
-def publish_version(df: DataFrame, root: str, name: str, version: str, key: str) -> DataFrame:
+def publish_version(
+    df: DataFrame, root: str, name: str, version: str, key: str, by: tuple[str, ...] = ("split",)
+) -> DataFrame:
     """Save `df` under its name and version, one folder per split, with a manifest.
 
-    The manifest has one row per split (rows, smallest and largest key, schema) and is taken
+    `by` names the partition columns, such as ("config", "split"). The manifest has one row per
+    split (rows, smallest and largest key, schema) and is taken
     from the files as written. A failed write raises.
     """
     spark = df.sparkSession
     path = f"{root.rstrip('/')}/{name}/v={version}"
-    df.write.mode("errorifexists").partitionBy("split").parquet(path)
+    df.write.mode("errorifexists").partitionBy(*by).parquet(path)
     manifest = (
         spark.read.schema(df.schema).parquet(path)
-        .groupBy("split")
+        .groupBy(*by)
         .agg(
             F.count("*").alias("num_rows"),
             F.min(key).alias("min_key"),
