@@ -107,15 +107,16 @@ def tokenized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rendered(spark, sf_dir).select("doc_id", tokenize_text(F.col("text")).alias("tokens"))
 
 
-def corpus_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
+def corpus_vocab(tokens: DataFrame) -> DataFrame:
     """The most frequent tokens of the rendered examples, written once and read from there."""
-    return through_table(build_vocab(tokenized(spark, sf_dir), VOCAB_SIZE), "vocab")
+    return through_table(build_vocab(tokens, VOCAB_SIZE), "vocab")
 
 
 def encoded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(doc_id, ids) and the vocabulary."""
-    vocab = corpus_vocab(spark, sf_dir)
-    return vocab_lookup(tokenized(spark, sf_dir), vocab, "doc_id").select("doc_id", "ids"), vocab
+    tokens = tokenized(spark, sf_dir)
+    vocab = corpus_vocab(tokens)
+    return vocab_lookup(tokens, vocab, "doc_id").select("doc_id", "ids"), vocab
 
 
 def mark_ids(vocab: DataFrame) -> tuple[int, int]:

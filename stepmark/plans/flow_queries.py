@@ -39,9 +39,10 @@ sizes AS (SELECT doc_id, count(*) AS n, count(*) FILTER (label <> -100) AS count
 {_SUMMARY}""",
 )
 def training_batches(spark, sf_dir):
-    vocab = A.corpus_vocab(spark, sf_dir)
+    examples = A.examples(spark, sf_dir)
+    vocab = A.corpus_vocab(flows.rendered_text(examples))
     keep = list(A.mark_ids(vocab))
-    return batch_summary(flows.training_batches(A.examples(spark, sf_dir), vocab, "doc_id", keep, PAD_ID))
+    return batch_summary(flows.training_batches(examples, vocab, "doc_id", keep, PAD_ID))
 
 
 @query(
@@ -54,9 +55,10 @@ sizes AS (SELECT doc_id, count(*) AS n, count(*) FILTER (token <> '<image>') AS
 {_SUMMARY}""",
 )
 def indexed_batches(spark, sf_dir):
-    vocab = A.corpus_vocab(spark, sf_dir)
+    examples = A.examples(spark, sf_dir)
+    vocab = A.corpus_vocab(flows.rendered_text(examples))
     drop = list(token_ids(vocab, [IMAGE]).values())
-    return batch_summary(flows.indexed_batches(A.examples(spark, sf_dir), vocab, "doc_id", drop, PAD_ID))
+    return batch_summary(flows.indexed_batches(examples, vocab, "doc_id", drop, PAD_ID))
 
 
 @query(

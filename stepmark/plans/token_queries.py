@@ -246,7 +246,7 @@ FROM (SELECT *, min(later) OVER (PARTITION BY token) AS least_later FROM (
 GROUP BY token""",
 )
 def special_token_union(spark, sf_dir):
-    vocab = A.corpus_vocab(spark, sf_dir)
+    vocab = A.corpus_vocab(A.tokenized(spark, sf_dir))
     existing = vocab.select("token", F.col("token_id").cast("bigint").alias("position"))
     return T.special_token_union(existing, _new_tokens(spark, sf_dir))
 
@@ -261,7 +261,7 @@ SELECT token, ((SELECT max(token_id) FROM vocab)
 FROM special WHERE token NOT IN (SELECT token FROM vocab)""",
 )
 def extend_vocab(spark, sf_dir):
-    return T.extend_vocab(A.corpus_vocab(spark, sf_dir), _new_tokens(spark, sf_dir))
+    return T.extend_vocab(A.corpus_vocab(A.tokenized(spark, sf_dir)), _new_tokens(spark, sf_dir))
 
 
 @query(
@@ -275,7 +275,7 @@ FROM wanted LEFT JOIN vocab USING (token)""",
 def check_token_ids(spark, sf_dir):
     """Against the ids of a full model vocabulary, so every token is a violation here."""
     expected = {GOOD: 151666, BAD: 151665, "<nowhere>": 0}
-    return T.check_token_ids(A.corpus_vocab(spark, sf_dir), expected, pad_id=0)
+    return T.check_token_ids(A.corpus_vocab(A.tokenized(spark, sf_dir)), expected, pad_id=0)
 
 
 def utf8_bytes():

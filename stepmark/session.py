@@ -47,11 +47,10 @@ def through_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partition by `keys`, but only where the scan has fewer tasks than the cluster has cores.
+    """Hash-partition by `keys`, but only where the scan has fewer than two tasks per core.
 
-    A large table already scans in more tasks than there are cores and is left as it is.
+    Spark cuts a small table into about one task per core, of which only those that hold the
+    start of a row group have rows. A table of more than two splits per core is left as it is.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(2 * cores, *keys)
+    tasks = 2 * df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks, *keys)
