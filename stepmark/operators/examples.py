@@ -44,7 +44,7 @@ def explode_images(df: DataFrame) -> DataFrame:
 
 
 def last_image(df: DataFrame) -> DataFrame:
-    """Keep the last image of each example; NULL where there is none (see `without_image`)."""
+    """Keep the last image of each example; NULL where there is none, which callers reject."""
     return df.withColumn("image", F.try_element_at("images", F.lit(-1))).drop("images")
 
 

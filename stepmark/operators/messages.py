@@ -11,9 +11,11 @@ from stepmark.functions.text import IMAGE, trim_text
 from stepmark.schemas import ITEM
 
 
-def _item(type_: str, text: Column | None = None, image: Column | None = None) -> Column:
-    """An item with only the key of its type set; `index` has served its purpose by now."""
-    values = {"type": F.lit(type_), "text": text, "image": image, "index": None}
+def content_item(
+    type_: str, text: Column | None = None, image: Column | None = None, index: Column | None = None
+) -> Column:
+    """An item with the given keys set and the others NULL."""
+    values = {"type": F.lit(type_), "text": text, "image": image, "index": index}
     return F.struct(*[
         (F.lit(None) if values[f.name] is None else values[f.name]).cast(f.dataType).alias(f.name)
         for f in ITEM.fields
@@ -36,8 +38,8 @@ def clean_items_media_first(messages: Column) -> Column:
 
     def cleaned(message: Column) -> Column:
         content = message["content"]
-        images = F.transform(F.filter(content, _usable_image), lambda i: _item("image", image=i["image"]))
-        texts = F.transform(F.filter(content, _usable_text), lambda i: _item("text", text=i["text"]))
+        images = F.transform(F.filter(content, _usable_image), lambda i: content_item("image", image=i["image"]))
+        texts = F.transform(F.filter(content, _usable_text), lambda i: content_item("text", text=i["text"]))
         return F.struct(message["role"].alias("role"), F.concat(images, texts).alias("content"))
 
     return F.transform(messages, cleaned)
@@ -64,8 +66,8 @@ def resolve_image_index(messages: Column, images: Column) -> Column:
     def resolved(message: Column) -> Column:
         items = F.transform(
             message["content"],
-            lambda i: F.when(_usable_text(i), _item("text", text=i["text"])).when(
-                i["type"] == "image", _item("image", image=_image_at(images, i))
+            lambda i: F.when(_usable_text(i), content_item("text", text=i["text"])).when(
+                i["type"] == "image", content_item("image", image=_image_at(images, i))
             ),
         )
         kept = F.filter(items, lambda i: i["text"].isNotNull() | i["image"].isNotNull())

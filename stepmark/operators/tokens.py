@@ -98,7 +98,7 @@ def _small_vocab(vocab: DataFrame) -> pa.Table | None:
 def _map_list(values: pa.ListArray, keys: pa.Array, results: pa.Array, unknown: pa.Array) -> pa.ListArray:
     """Look up every element of every list at once; `unknown` stands in where no key matches."""
     flat = values.flatten()
-    found = results.take(pc.index_in(flat, value_set=keys))
+    found = results.take(pc.index_in(flat, value_set=keys.cast(flat.type)))
     found = pc.coalesce(found, unknown if len(unknown) == len(flat) else unknown[0])
     lengths = pc.fill_null(pc.list_value_length(values), 0)
     offsets = pa.array([0], pa.int32()) if len(values) == 0 else pa.concat_arrays(

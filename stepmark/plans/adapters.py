@@ -19,10 +19,15 @@ from pyspark.sql import functions as F
 from stepmark.functions.refs import rewrite_prefix
 from stepmark.functions.text import BAD, GOOD, IMAGE, tokenize_text
 from stepmark.operators.batches import seeded_hash
-from stepmark.operators.messages import clean_items_media_first, drop_empty_messages, render_chat
+from stepmark.operators.messages import (
+    clean_items_media_first,
+    content_item,
+    drop_empty_messages,
+    render_chat,
+)
 from stepmark.operators.metrics import log_steps
 from stepmark.operators.tokens import build_vocab, token_ids, vocab_lookup
-from stepmark.schemas import ITEM, MESSAGE
+from stepmark.schemas import MESSAGE
 from stepmark.session import shared_path, spread, through_table
 
 REMOTE = "s3://bucket/base/"
@@ -34,14 +39,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _item(type_: str, text: Column | None = None, image: Column | None = None, index: Column | None = None) -> Column:
-    values = {"type": F.lit(type_), "text": text, "image": image, "index": index}
-    return F.struct(*[
-        (F.lit(None) if values[f.name] is None else values[f.name]).cast(f.dataType).alias(f.name)
-        for f in ITEM.fields
-    ])
-
-
 def _message(role: Column | str, *items: Column) -> Column:
     role = F.lit(role) if isinstance(role, str) else role
     return F.struct(role.alias("role"), F.array(*items).alias("content")).cast(MESSAGE)
@@ -55,17 +52,17 @@ def examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, images, messages): each line of a document is a step, followed by its mark."""
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id")
     doc = F.col("doc_id")
-    image = _item(
+    image = content_item(
         "image", image=F.when(doc % 5 != 0, IMAGE), index=(doc % 3)
     )
 
     def step(line: Column, k: Column) -> Column:
-        text = _item("text", text=F.when((doc + k) % 11 != 0, line))
+        text = content_item("text", text=F.when((doc + k) % 11 != 0, line))
         user = F.when(k == 0, _message("user", text, image)).otherwise(_message("user", text))
-        return F.array(user, _message("assistant", _item("text", text=_mark(doc, k))))
+        return F.array(user, _message("assistant", content_item("text", text=_mark(doc, k))))
 
     steps = F.flatten(F.transform(F.split("text", "\n"), step))
-    system = F.array(_message("system", _item("text", text=F.col("source"))))
+    system = F.array(_message("system", content_item("text", text=F.col("source"))))
     return docs.select("doc_id", image_uris(doc).alias("images"), F.concat(system, steps).alias("messages"))
 
 
@@ -136,7 +133,7 @@ def turn_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.when((conv + turn) % 11 == 0, F.lit(None)).otherwise(
         F.when(F.col("role") == "assistant", _mark(conv, turn)).otherwise(F.col("text"))
     )
-    return turns.select("conv_id", "turn", F.array(_message(F.col("role"), _item("text", text=text))).alias("messages"))
+    return turns.select("conv_id", "turn", F.array(_message(F.col("role"), content_item("text", text=text))).alias("messages"))
 
 
 def dims(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stepmark.functions import labels as L
-from stepmark.functions.refs import rewrite_prefix
+from stepmark.functions.refs import derive_resized_path, rewrite_prefix
 from stepmark.functions.sizes import CONVERSION, PixelBounds
 from stepmark.functions.text import tokenize_text
 from stepmark.operators import batches as B
@@ -35,7 +35,7 @@ def resized_table(
     if picked.where(F.col("image").isNull()).take(1):
         raise ValueError("an example has no image")
     resized = I.images_resize(I.images_to_rgb(images), suffix, bounds)
-    examples = picked.withColumn("image", I.derive_resized_path(F.col("image"), suffix))
+    examples = picked.withColumn("image", derive_resized_path(F.col("image"), suffix))
     return X.tag_split(X.project_example(examples)), resized
 
 
