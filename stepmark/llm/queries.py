@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepmark.llm import mixing, secrets
+from stepmark.llm import language, mixing, secrets
+from stepmark.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,10 +67,18 @@ FROM placed
 """
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    out = held_out(F.col("doc_id"), 4, 2)
+    model = language.train(docs, ~out)
+    return language.predict(docs.select("doc_id", "text"), model).select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_secret_scan": op1_secret_scan,
         "op7_source_mix": op7_source_mix,
+        "op8_language_id": op8_language_id,
     }
 
 
