@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepmark.llm import language, mixing, secrets
+from stepmark.llm import language, mixing, quality, secrets
 from stepmark.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,14 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = held_out(F.col("doc_id"), 3, 1)
+    model = quality.train(docs, _table(spark, sf_dir, "labels").where(~out), label="quality")
+    scored = quality.score(docs, model)
+    return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -77,6 +85,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_secret_scan": op1_secret_scan,
+        "op3_quality": op3_quality,
         "op7_source_mix": op7_source_mix,
         "op8_language_id": op8_language_id,
     }
