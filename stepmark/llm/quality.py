@@ -216,108 +216,6 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     return fit(x, sample["label"].to_numpy(dtype=np.float64))
 
 
-def score(self, x: np.ndarray) -> np.ndarray:
-        odds = np.full(len(x), self.base)
-        for i, (cut, table) in enumerate(zip(self.cuts, self.tables, strict=True)):
-            odds += table[np.searchsorted(cut, x[:, i], side="right")]
-        for (i, j), (ci, cj), table in zip(self.pairs, self.pair_cuts, self.pair_tables, strict=True):
-            odds += table[np.searchsorted(ci, x[:, i], side="right"), np.searchsorted(cj, x[:, j], side="right")]
-        return 1 / (1 + np.exp(-odds))
-
-
-def _cuts(values: np.ndarray, bins: int) -> np.ndarray:
-    return np.unique(np.quantile(values, np.linspace(0, 1, bins + 1)[1:-1]))
-
-
-def _gain(g: np.ndarray, h: np.ndarray) -> np.ndarray:
-    return g * g / (h + 1.0)
-
-
-def _tree(g: np.ndarray, h: np.ndarray, n: np.ndarray, depth: int = 2) -> np.ndarray:
-    """Step of a shallow tree over ordered bins, from sums of gradient, curvature and rows."""
-    out = np.full(len(g), g.sum() / (h.sum() + 1.0))
-    if depth == 0 or len(g) < 2:
-        return out
-    gl, hl, nl = np.cumsum(g)[:-1], np.cumsum(h)[:-1], np.cumsum(n)[:-1]
-    gain = _gain(gl, hl) + _gain(g.sum() - gl, h.sum() - hl) - _gain(g.sum(), h.sum())
-    gain[(nl < LEAST_LEAF) | (n.sum() - nl < LEAST_LEAF)] = 0
-    at = int(gain.argmax())
-    if gain[at] <= 1e-9:
-        return out
-    return np.concatenate([_tree(g[: at + 1], h[: at + 1], n[: at + 1], depth - 1), _tree(g[at + 1 :], h[at + 1 :], n[at + 1 :], depth - 1)])
-
-
-def _quadrants(g: np.ndarray, h: np.ndarray, n: np.ndarray) -> tuple[float, np.ndarray]:
-    """Best cut in both directions of a grid of sums: its gain and the step of its quadrants."""
-    total, best, step = _gain(g.sum(), h.sum()), 0.0, np.zeros(g.shape)
-    cg, ch, cn = (x.cumsum(0).cumsum(1) for x in (g, h, n))
-    for i in range(g.shape[0] - 1):
-        for j in range(g.shape[1] - 1):
-            parts = []
-            for c in (cg, ch, cn):
-                a, b, d = c[i, j], c[i, -1] - c[i, j], c[-1, j] - c[i, j]
-                parts.append(np.array([[a, b], [d, c[-1, -1] - a - b - d]]))
-            gain = (_gain(parts[0], parts[1]) * (parts[2] >= LEAST_LEAF)).sum() - total
-            if gain > best:
-                best = gain
-                move = parts[0] / (parts[1] + 1.0) * (parts[2] >= LEAST_LEAF)
-                step = np.repeat(np.repeat(move, [i + 1, g.shape[0] - i - 1], axis=0), [j + 1, g.shape[1] - j - 1], axis=1)
-    return best, step
-
-
-def fit(x: np.ndarray, y: np.ndarray) -> Model:
-    """Boost main effects in turn, then the pairs whose grid explains most of what is left."""
-    rate = min(max(float(y.mean()) if len(y) else 0.5, 1e-3), 1 - 1e-3)
-    base = math.log(rate / (1 - rate))
-    cuts = [_cuts(x[:, i], BINS) if len(x) else np.zeros(0) for i in range(x.shape[1])]
-    binned = [np.searchsorted(c, x[:, i], side="right") for i, c in enumerate(cuts)]
-    tables = [np.zeros(len(c) + 1) for c in cuts]
-    odds = np.full(len(y), base)
-
-    def slopes() -> tuple[np.ndarray, np.ndarray]:
-        p = 1 / (1 + np.exp(-odds))
-        return y - p, p * (1 - p)
-
-    for _ in range(ROUNDS if len(y) else 0):
-        for i, b in enumerate(binned):
-            g, h = slopes()
-            size = len(tables[i])
-            step = RATE * _tree(np.bincount(b, g, size), np.bincount(b, h, size), np.bincount(b, minlength=size))
-            tables[i] += step
-            odds += step[b]
-    pair_cuts = [_cuts(x[:, i], PAIR_BINS) if len(x) else np.zeros(0) for i in range(x.shape[1])]
-    coarse = [np.searchsorted(c, x[:, i], side="right") for i, c in enumerate(pair_cuts)]
-
-    def grid(i: int, j: int) -> tuple[np.ndarray, tuple[int, int]]:
-        return coarse[i] * (len(pair_cuts[j]) + 1) + coarse[j], (len(pair_cuts[i]) + 1, len(pair_cuts[j]) + 1)
-
-    def sums(i: int, j: int) -> tuple[np.ndarray, ...]:
-        cell, shape = grid(i, j)
-        g, h = slopes()
-        size = shape[0] * shape[1]
-        return tuple(np.bincount(cell, w, size).reshape(shape) for w in (g, h, np.ones(len(g))))
-
-    found = sorted(((-_quadrants(*sums(i, j))[0], i, j) for i, j in combinations(range(x.shape[1]), 2)) if len(y) else [])
-    pairs = [(i, j) for _, i, j in found[:PAIRS]]
-    pair_tables = [np.zeros(grid(i, j)[1]) for i, j in pairs]
-    for _ in range(PAIR_ROUNDS):
-        for table, (i, j) in zip(pair_tables, pairs, strict=True):
-            step = RATE * _quadrants(*sums(i, j))[1]
-            table += step
-            odds += step.ravel()[grid(i, j)[0]]
-    return Model(base, cuts, tables, pairs, [(pair_cuts[i], pair_cuts[j]) for i, j in pairs], pair_tables)
-
-
-def train(known: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "label") -> Model:
-    """Fit on at most 20,000 labelled rows: those of smallest hash of their id. NULL labels are left out."""
-    rows = pick(known, doc_id=doc_id, text=text, label=label).where("label is not null")
-    rows = rows.withColumn("h", F.xxhash64("doc_id"))
-    sample = rows.orderBy("h", "doc_id", "label").limit(TRAIN_ROWS)  # the documented bound
-    sample = measured(sample).select("features", "label").toPandas()
-    x = np.array(sample["features"].tolist(), dtype=np.float64).reshape(len(sample), len(FEATURES))
-    return fit(x, sample["label"].to_numpy(dtype=np.float64))
-
-
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """`docs` with `score` (0 to 1; replaces a column of that name), from the text alone."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # some thousand numbers
