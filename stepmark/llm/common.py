@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from stepmark.session import shared_path, through_table
-
-__all__ = ["bucket", "components", "held_out", "pick", "ranked", "shared_path", "through_table"]
+from stepmark.session import shared_path, through_table  # noqa: F401  (for the operators)
 
 
 def pick(df: DataFrame, **columns: str) -> DataFrame:
@@ -71,3 +73,31 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
         raise RuntimeError("components did not settle")
     roots = links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+
+
+def in_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[tuple[tuple, pd.DataFrame]]:
+    """The groups of rows that are already sorted by `keys`, one after the other."""
+    rest: pd.DataFrame | None = None
+    for batch in batches:
+        rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+        if not len(rows):
+            continue
+        values = [rows[k].to_numpy() for k in keys]
+        changes = np.flatnonzero(np.any([v[1:] != v[:-1] for v in values], axis=0)) + 1
+        for a, b in zip(np.concatenate([[0], changes[:-1]]), changes, strict=True) if len(changes) else ():
+            yield tuple(v[a] for v in values), rows.iloc[a:b]
+        rest = rows.iloc[changes[-1] if len(changes) else 0 :]
+    if rest is not None and len(rest):
+        yield tuple(rest[k].iloc[0] for k in keys), rest
+
+
+def local_roots(linked: np.ndarray) -> np.ndarray:
+    """Place of the first member of each member's component, from a symmetric matrix of links."""
+    n = len(linked)
+    labels = np.arange(n)
+    while True:
+        least = np.minimum(labels, np.where(linked, labels[None, :], n).min(axis=1, initial=n))
+        least = least[least]
+        if (least == labels).all():
+            return labels
+        labels = least

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepmark.llm import language, mixing, quality, secrets
+from stepmark.llm import language, mixing, ngram_join, quality, secrets
 from stepmark.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_join(_table(spark, sf_dir, "documents"))
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -86,6 +90,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_secret_scan": op1_secret_scan,
         "op3_quality": op3_quality,
+        "op5_ngram_join": op5_ngram_join,
         "op7_source_mix": op7_source_mix,
         "op8_language_id": op8_language_id,
     }
