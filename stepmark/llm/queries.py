@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepmark.llm import language, mixing, ngram_join, quality, secrets
+from stepmark.llm import decontaminate, language, mixing, ngram_join, quality, secrets
 from stepmark.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +86,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs.select("doc_id", "text"), model).select("doc_id", out.alias("held_out"), "lang_pred", "score")
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -93,6 +97,7 @@ def queries() -> dict[str, Query]:
         "op5_ngram_join": op5_ngram_join,
         "op7_source_mix": op7_source_mix,
         "op8_language_id": op8_language_id,
+        "op10_decontaminate": op10_decontaminate,
     }
 
 
