@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepmark.llm import decontaminate, language, mixing, ngram_join, quality, secrets
+from stepmark.llm import decontaminate, language, mixing, ngram_join, quality, secrets, token_files
 from stepmark.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,15 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_join(_table(spark, sf_dir, "documents"))
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    if tokenizer is None:
+        import public_tokenizers
+
+        tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    manifest = token_files.write_token_files(_table(spark, sf_dir, "documents"), token_files.token_folder(spark), tokenizer)
+    return token_files.read_token_files(manifest)
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -95,6 +104,7 @@ def queries() -> dict[str, Query]:
         "op1_secret_scan": op1_secret_scan,
         "op3_quality": op3_quality,
         "op5_ngram_join": op5_ngram_join,
+        "op6_token_files": op6_token_files,
         "op7_source_mix": op7_source_mix,
         "op8_language_id": op8_language_id,
         "op10_decontaminate": op10_decontaminate,
