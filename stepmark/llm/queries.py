@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepmark.llm import decontaminate, language, mixing, ngram_join, quality, secrets, token_files
+from stepmark.llm import decontaminate, language, mixing, ngram_join, quality, secrets, token_files, wrappers
 from stepmark.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op4_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = wrappers.extract(_table(spark, sf_dir, "pages"))
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_join(_table(spark, sf_dir, "documents"))
 
@@ -103,6 +108,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_secret_scan": op1_secret_scan,
         "op3_quality": op3_quality,
+        "op4_page_text": op4_page_text,
         "op5_ngram_join": op5_ngram_join,
         "op6_token_files": op6_token_files,
         "op7_source_mix": op7_source_mix,
