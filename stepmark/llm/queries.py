@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepmark.llm import decontaminate, language, mixing, ngram_join, quality, secrets, token_files, wrappers
+from stepmark.llm import decontaminate, embedding_dedup, language, mixing, ngram_join, quality, secrets, token_files, wrappers
 from stepmark.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     out = held_out(F.col("doc_id"), 3, 1)
@@ -107,6 +111,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_secret_scan": op1_secret_scan,
+        "op2_embedding_dedup": op2_embedding_dedup,
         "op3_quality": op3_quality,
         "op4_page_text": op4_page_text,
         "op5_ngram_join": op5_ngram_join,
