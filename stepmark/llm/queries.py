@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepmark.llm import decontaminate, embedding_dedup, language, mixing, ngram_join, quality, secrets, token_files, wrappers
+from stepmark.llm import decontaminate, embedding_dedup, language, mixing, ngram_join, quality, secrets, suffix_dedup, token_files, wrappers
 from stepmark.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,10 +51,7 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
-    if tokenizer is None:
-        import public_tokenizers
-
-        tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = tokenizer or token_files.default_tokenizer()
     manifest = token_files.write_token_files(_table(spark, sf_dir, "documents"), token_files.token_folder(spark), tokenizer)
     return token_files.read_token_files(manifest)
 
@@ -104,6 +101,11 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs.select("doc_id", "text"), model).select("doc_id", out.alias("held_out"), "lang_pred", "score")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.dedup(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -118,6 +120,7 @@ def queries() -> dict[str, Query]:
         "op6_token_files": op6_token_files,
         "op7_source_mix": op7_source_mix,
         "op8_language_id": op8_language_id,
+        "op9_suffix_dedup": op9_suffix_dedup,
         "op10_decontaminate": op10_decontaminate,
     }
 

@@ -263,6 +263,13 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
     return files.mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
+def default_tokenizer() -> str:
+    """Path of the public 49k word vocabulary, where its package is installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def token_folder(spark: SparkSession) -> str:
     """A new folder in the shared folder."""
     return shared_path(spark, "tokens")
