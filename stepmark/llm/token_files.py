@@ -60,8 +60,7 @@ class Encoder:
         self.known: dict[str, list[int]] = {}
         self.flat = np.zeros(1 << 16, dtype=np.uint32)
         self.used = 0
-        self.starts: list[int] = [0]
-        self.ends = np.zeros(1, dtype=np.int64)
+        self.ends = np.zeros(1 << 16, dtype=np.int64)  # of the ids of each piece; the first is empty
         self.places[""] = 0
 
     def _ids(self, piece: str) -> list[int]:
@@ -87,12 +86,14 @@ class Encoder:
             self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), dtype=np.uint32)])
         self.flat[self.used : self.used + len(ids)] = ids
         self.used += len(ids)
-        self.starts.append(self.used)
-        place = self.places[piece] = len(self.starts) - 1
+        place = self.places[piece] = len(self.places)
+        if place == len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros(len(self.ends), dtype=np.int64)])
+        self.ends[place] = self.used
         return place
 
     def encode(self, text: str) -> np.ndarray:
-        if len(self.starts) > MOST_CACHED:
+        if len(self.places) > MOST_CACHED:
             self.clear()
         pieces = text.replace("\n", " ").split(" ")
         get = self.places.get
@@ -103,8 +104,6 @@ class Encoder:
                     code = get(pieces[i])
                     codes[i] = self._add(pieces[i]) if code is None else code
         at = np.array(codes, dtype=np.int64)
-        if len(self.ends) != len(self.starts):
-            self.ends = np.array(self.starts, dtype=np.int64)
         ends = self.ends[at]
         starts = self.ends[np.maximum(at - 1, 0)]
         n = ends - starts
