@@ -135,7 +135,7 @@ class Items:
                     best[item] = (similarity, start, width)
         return [
             {"item_id": self.ids[item], "similarity": s, "start_word": start, "n_words": width + shingles.WIDTH - 1}
-            for item, (s, start, width) in sorted(best.items(), key=lambda x: (self.ids[x[0]], x[1]))
+            for item, (s, start, width) in sorted(best.items())
         ]
 
 
