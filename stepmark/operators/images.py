@@ -38,7 +38,7 @@ def keep_existing_images(
     """Drop the images that are not in `listing`; examples stay, with an empty list if need be.
 
     Only key, position and reference take part in the lookup. The messages are shuffled once,
-    when the kept lists join back. `key` must be unique.
+    when the kept lists join back. `key` must be unique; NULL is a key like any other.
     """
     refs = df.select(key, F.posexplode("images").alias("pos", "path"))
     present = listing.select("path").distinct().withColumn("found", F.lit(True))
@@ -47,10 +47,11 @@ def keep_existing_images(
         found.where("found")
         .groupBy(key)
         .agg(F.sort_array(F.collect_list(F.struct("pos", "path"))).alias("kept"))
-        .select(key, F.col("kept.path").alias("_kept"))
+        .select(F.col(key).alias("_key"), F.col("kept.path").alias("_kept"))
     )
     empty = F.array().cast("array<string>")
-    return df.join(kept, key, "left").withColumn("images", F.coalesce("_kept", empty)).drop("_kept")
+    joined = df.join(kept, F.col(key).eqNullSafe(F.col("_key")), "left")
+    return joined.withColumn("images", F.coalesce("_kept", empty)).drop("_key", "_kept")
 
 
 def attach_image_bytes(

@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key with more than 1/1000 of all rows is always among the 1000 most frequent ones, so this
-# many keys are enough to find every hot key, whatever the size of the table.
-HOT_KEYS = 1000
 ROWS_PER_TASK = 1_000_000
 
 
@@ -23,27 +20,25 @@ def salted_left_join(
     Keys are counted first (partial counts per task, one column read). A key with more than
     `rows_per_task` rows is split into parts by a hash of `spread_by`, and its single row on
     the other side is repeated once per part. NULL keys match nothing and are spread as well.
-    The broadcast list of hot keys has at most HOT_KEYS rows by its own limit; which keys are
-    on it changes only the balance, never the result.
+    Every such key is on the list of hot keys, which has at most one row per `rows_per_task` rows;
+    Spark broadcasts it if its measured size is within the session's bound and shuffles it otherwise.
     """
     hot = (
         facts.where(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.count("*").alias("_rows"))
-        .orderBy(F.desc("_rows"), key)
-        .limit(HOT_KEYS)
         .where(F.col("_rows") > rows_per_task)
         .select(key, F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_parts"))
     )
     spread = F.xxhash64(*spread_by)
-    salted = facts.join(F.broadcast(hot), key, "left").withColumn(
+    salted = facts.join(hot, key, "left").withColumn(
         "_salt",
         F.when(F.col(key).isNull(), F.pmod(spread, F.lit(4096)))
         .when(F.col("_parts").isNotNull(), F.pmod(spread, F.col("_parts")))
         .otherwise(F.lit(0))
         .cast("int"),
     )
-    repeated = unique.join(F.broadcast(hot), key, "left").withColumn(
+    repeated = unique.join(hot, key, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
     )
     return salted.drop("_parts").join(repeated.drop("_parts"), [key, "_salt"], "left").drop("_salt")

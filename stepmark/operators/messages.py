@@ -110,7 +110,10 @@ class ChatTemplate:
 
 
 def render_chat(messages: Column, template: ChatTemplate = ChatTemplate(), strip: bool = False) -> Column:
-    """One text per example: head, items in order, tail, for every message; no prompt at the end."""
+    """One text per example: head, items in order, tail, for every message; no prompt at the end.
+
+    A message without a role cannot be written and fails the job; NULL messages are left out.
+    """
     before_role, _, after_role = template.head.partition("{role}")
 
     def item_text(item: Column) -> Column:
@@ -119,7 +122,7 @@ def render_chat(messages: Column, template: ChatTemplate = ChatTemplate(), strip
     def message_text(message: Column) -> Column:
         return F.concat(
             F.lit(before_role),
-            message["role"],
+            F.when(message["role"].isNotNull(), message["role"]).when(message.isNotNull(), F.raise_error(F.lit("a message has no role"))),
             F.lit(after_role),
             F.array_join(F.transform(message["content"], item_text), ""),
             F.lit(template.tail),

@@ -48,18 +48,21 @@ def metric_every_n(log: DataFrame, n: int = EVERY) -> DataFrame:
 
 
 def rolling_metric(log: DataFrame, n: int = EVERY, block_steps: int = 100_000) -> DataFrame:
-    """Mean loss over each step and the n-1 steps before it. Steps count from 0 without gaps.
+    """Mean loss over each logged row and the n-1 rows before it; steps may have gaps.
 
-    A run is cut into blocks of `block_steps`; each block also gets the n-1 rows before it,
-    which serve its first means and are then dropped. A long run is thus many bounded windows.
+    Rows are numbered first. A run is cut into blocks of `block_steps` rows; each block also gets
+    the n-1 rows before it, which serve its first means and are then dropped. A long run is thus
+    many bounded windows.
     """
-    place = F.pmod(F.col("step"), F.lit(block_steps))
-    own = F.floor(F.col("step") / block_steps)
+    log = log.withColumn("_range", F.floor(F.col("step") / block_steps))
+    log = number_by_blocks(log, ["run_id"], "_range", ["step"], "_number").drop("_range")
+    place = F.pmod(F.col("_number"), F.lit(block_steps))
+    own = F.floor(F.col("_number") / block_steps)
     blocks = F.when(place >= block_steps - (n - 1), F.array(own, own + 1)).otherwise(F.array(own))
-    window = W.partitionBy("run_id", "_block").orderBy("step").rowsBetween(-(n - 1), 0)
+    window = W.partitionBy("run_id", "_block").orderBy("_number").rowsBetween(-(n - 1), 0)
     return (
         log.withColumn("_block", F.explode(blocks))
         .withColumn("rolling_loss", F.avg("loss").over(window))
         .where(F.col("_block") == own)
-        .drop("_block")
+        .drop("_block", "_number")
     )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -20,20 +23,23 @@ def number_by_blocks(
     Rows are numbered inside each block, and each block is moved up by the number of rows in
     the blocks before it. So a task sorts one block, never a whole group, and only the block
     counts (one row each) are summed per group. `block` must follow `order` (all rows of a
-    block before all rows of the next), and group and block columns must not be NULL.
+    block before all rows of the next). NULL is a group like any other, and a NULL block comes
+    first: no row is lost.
     `few_blocks` says that the number of blocks is bounded by construction; the counts are
     then broadcast.
     """
     cells = [*group, block]
     counts = df.groupBy(*cells).agg(F.count("*").alias("_rows"))
     earlier = W.partitionBy(*group).orderBy(block).rowsBetween(W.unboundedPreceding, -1)
-    starts = counts.select(*cells, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
+    before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start")
+    starts = counts.select(*[F.col(c).alias(f"_of_{c}") for c in cells], before)
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in cells])
     if few_blocks:
         starts = F.broadcast(starts)
     inside = F.row_number().over(W.partitionBy(*cells).orderBy(*order))
     return (
         df.withColumn("_inside", inside)
-        .join(starts, cells)
+        .join(starts, same)
         .withColumn(name, F.col("_start") + F.col("_inside") - 1)
-        .drop("_inside", "_start")
+        .drop("_inside", "_start", *[f"_of_{c}" for c in cells])
     )

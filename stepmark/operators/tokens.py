@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stepmark.operators.joins import salted_left_join
+from stepmark.session import through_table
 
 UNKNOWN_ID = -1
 
@@ -57,9 +58,12 @@ def extend_vocab(vocab: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def token_ids(vocab: DataFrame, tokens: list[str]) -> dict[str, int]:
-    """Ids of a few named tokens."""
-    found = vocab.where(F.col("token").isin(*tokens)).limit(len(tokens)).collect()
-    return {row["token"]: row["token_id"] for row in found}
+    """Ids of a few named tokens; a token that the vocabulary lacks raises."""
+    found = vocab.where(F.col("token").isin(*tokens)).groupBy("token").agg(F.min("token_id").alias("token_id")).collect()
+    ids = {row["token"]: row["token_id"] for row in found}
+    if missing := sorted(set(tokens) - set(ids)):
+        raise KeyError(f"not in the vocabulary: {missing}")
+    return ids
 
 
 def check_token_ids(vocab: DataFrame, expected: dict[str, int], pad_id: int, strict: bool = False) -> DataFrame:
@@ -85,6 +89,11 @@ def check_token_ids(vocab: DataFrame, expected: dict[str, int], pad_id: int, str
     return violations
 
 
+def _unique(vocab: DataFrame, key: str, result: str) -> DataFrame:
+    """One row per key: the smallest result. NULL keys name nothing."""
+    return vocab.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(result).alias(result))
+
+
 def _small_vocab(vocab: DataFrame) -> pa.Table | None:
     """The vocabulary itself if it is within the broadcast bounds, by count and by bytes."""
     size = vocab.agg(
@@ -118,8 +127,10 @@ def vocab_lookup(
     """Add the array `ids` for the array `tokens`; a token not in `vocab` gets `unknown_id`.
 
     A vocabulary within the broadcast bounds goes to the tasks and every list is looked up where
-    it lies, without a shuffle. A larger one is joined, see `lookup_by_join`.
+    it lies, without a shuffle. A larger one is joined, see `lookup_by_join`. A token that the
+    vocabulary has several times has its smallest id; both ways give the same for any rows.
     """
+    vocab = _unique(vocab, "token", "token_id")
     small = _small_vocab(vocab)
     if small is None:
         return lookup_by_join(df, vocab, key, tokens, "token", ids, "token_id", F.lit(unknown_id))
@@ -136,7 +147,11 @@ def vocab_lookup(
 def vocab_reverse_lookup(
     df: DataFrame, vocab: DataFrame, key: str, ids: str = "ids", tokens: str = "tokens"
 ) -> DataFrame:
-    """Add the array `tokens` for the array `ids`; an id not in `vocab` reads `<UNKNOWN:id>`."""
+    """Add the array `tokens` for the array `ids`; an id not in `vocab` reads `<UNKNOWN:id>`.
+
+    An id of several tokens reads as the smallest of them.
+    """
+    vocab = _unique(vocab, "token_id", "token")
     small = _small_vocab(vocab)
     if small is None:
         unknown = F.concat(F.lit("<UNKNOWN:"), F.col("token_id").cast("string"), F.lit(">"))
@@ -166,9 +181,12 @@ def lookup_by_join(
 ) -> DataFrame:
     """The lookup for a vocabulary of any size: one row per list element, joined and regrouped.
 
-    Frequent tokens are split over tasks by the salted join. `key` must be unique; only the key
-    and the list take part, the other columns join back at the end.
+    Frequent tokens are split over tasks by the salted join. Rows get an identity of their own and
+    are written once, so equal and NULL keys are no matter; only the identity and the list take
+    part, the other columns join back at the end.
     """
+    df = through_table(df.withColumn("_row", F.monotonically_increasing_id()), "lookup")
+    key = "_row"
     elements = df.select(key, F.posexplode_outer(values).alias("pos", vocab_key)).where(F.col("pos").isNotNull())
     found = salted_left_join(
         elements, vocab.select(vocab_key, vocab_result), vocab_key, [key, "pos"], rows_per_task
@@ -179,7 +197,7 @@ def lookup_by_join(
         .agg(F.sort_array(F.collect_list("e")).alias("elements"))
         .select(key, F.col("elements.result").alias(results))
     )
-    joined = df.join(regrouped, key, "left")
+    joined = df.join(regrouped, key, "left").drop(key)
     empty = F.array().cast(regrouped.schema[results].dataType)
     return joined.withColumn(results, F.when(F.col(values).isNotNull(), F.coalesce(results, empty)))
 

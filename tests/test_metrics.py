@@ -53,3 +53,18 @@ def test_log_steps_number_each_run_in_time_order(spark):
     for run in range(3):
         part = sorted((r for r in rows if r["run_id"] == run), key=lambda r: (r["ts"], r["event_id"]))
         assert [r["step"] for r in part] == list(range(100))
+
+
+def test_rolling_mean_over_steps_with_gaps(spark):
+    rows = [(1, 10 * i, float(i)) for i in range(40)]
+    df = spark.createDataFrame(rows, "run_id long, step long, loss double")
+    got = {r["step"]: r["rolling_loss"] for r in G.rolling_metric(df, n=4, block_steps=100).collect()}
+    assert got == {10 * i: sum(range(max(0, i - 3), i + 1)) / len(range(max(0, i - 3), i + 1)) for i in range(40)}
+
+
+def test_numbering_keeps_rows_with_null(spark):
+    from stepmark.operators.numbering import number_by_blocks
+
+    df = spark.createDataFrame([(1, None, 1), (1, 5, 2), (None, 5, 3)], "g long, b long, o long")
+    got = {r["o"]: r["n"] for r in number_by_blocks(df, ["g"], "b", ["o"], "n").collect()}
+    assert got == {1: 0, 2: 1, 3: 0}

@@ -118,3 +118,18 @@ def test_token_accuracy(spark):
     assert R.token_accuracy(df).first()[:] == (3, 4, 0.75)
     nothing = spark.createDataFrame([([1], [-100])], "predicted array<int>, labels array<int>")
     assert R.token_accuracy(nothing).first()["token_accuracy"] is None
+
+
+@pytest.mark.parametrize("bound", [10, 0])
+def test_both_lookups_agree_on_awkward_rows(spark, monkeypatch, bound):
+    monkeypatch.setattr(T, "MAX_BROADCAST_TOKENS", bound)
+    vocab = spark.createDataFrame([("a", 0), ("b", 1), ("a", 7), (None, 3)], "token string, token_id int")
+    rows = [(None, ["a"]), (1, ["a", "x", "b"]), (1, ["b"]), (1, ["b"]), (2, []), (3, None), (None, ["a", None])]
+    df = spark.createDataFrame(rows, "id long, tokens array<string>")
+    got = [r["ids"] for r in T.vocab_lookup(df, vocab, "id").collect()]
+    assert sorted(map(str, got)) == sorted(map(str, [[0], [0, -1, 1], [1], [1], [], None, [0, -1]]))
+
+
+def test_a_missing_token_raises(vocab):
+    with pytest.raises(KeyError):
+        T.token_ids(vocab, ["<+>", "nowhere"])
