@@ -157,6 +157,24 @@ def test_kernel_is_shared_grams():
     assert (model.similarities([""]) == 0).all()
 
 
+def test_language_learns_from_whole_texts(spark):
+    """Labelled texts that begin alike and differ late, and more characters than any small alphabet."""
+    rng = random.Random(8)
+    letters = {"pp": [chr(0x4E00 + i) for i in range(300)], "qq": [chr(0x4E00 + i) for i in range(300, 600)]}
+    late = lambda lang, n: "".join(rng.choice(letters[lang]) for _ in range(n))
+    known = [(i, "1234 5678 " * 2_100 + late(lang, 3_000), lang) for i in range(30) for lang in letters]
+    known = spark.createDataFrame([(2 * i + (lang == "qq"), t, lang) for i, t, lang in known], "doc_id long, text string, lang string")
+    model = language.train(known, F.lit(True))
+    asked = spark.createDataFrame([(i, late(lang, 200), lang) for i in range(20) for lang in letters], known.schema)
+    assert language.predict(asked, model).where("lang <> lang_pred").count() == 0
+    best = {}  # one row for each language and part of the hashes, as in the sample
+    for r in known.withColumn("h", F.xxhash64("doc_id")).orderBy(F.desc("h")).collect():
+        best[r.lang, r.h % language.TRAIN_PER_CLASS] = r
+    texts, labels = zip(*[(r.text, r.lang) for r in sorted(best.values(), key=lambda r: (r.lang, r.h))], strict=True)
+    plain = language.fit(list(texts), list(labels))
+    assert (plain.features == model.features).all() and np.allclose(plain.weights, model.weights, atol=1e-4)
+
+
 def test_quality(spark, docs, empty):
     rng = random.Random(4)
     good = [(i, " ".join(words(60, rng)).capitalize() + ".", 1) for i in range(300)]
