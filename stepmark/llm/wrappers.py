@@ -5,6 +5,7 @@ Nodes that stay constant over the pages of a host are its template; slots that v
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
@@ -22,6 +23,7 @@ TAG = re.compile(
     r"""|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>"']++|"[^"]*"|'[^']*')*+|[^>]*)>""",
     re.S,
 )
+CLASS = re.compile(r"""\bclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none""", re.I)
 WORDS = re.compile(r"[A-Za-z]+")
@@ -57,9 +59,11 @@ NOT_NAMES = frozenset(
 PAGE_NAMES = frozenset("header masthead banner".split())
 ROOTS = frozenset("html body main article".split())
 
-#: A slot is template if its text is the same on this share of at least so many differing pages.
+#: A slot is template if its text is the same on this share of at least so many further, differing pages.
 OUTSIDE, INSIDE = (0.9, 5), (0.95, 20)
 ORDINALS = 16
+#: Depth of the element paths by which the pages of a host are grouped.
+FRAME = 4
 
 
 @dataclass
@@ -69,6 +73,8 @@ class Node:
     article: bool = False
     dropped: bool = False
     children: list[Node] = field(default_factory=list)
+    parent: Node | None = field(default=None, repr=False, compare=False)
+    names: str = ""  # its class, without digits
     blocks: int = 0
     shape: int = 0
 
@@ -172,6 +178,9 @@ def parse(source: str) -> Page:
         node = Node(name, nodes, parent.article or name in ("article", "main"), parent.dropped or hide > 0 or _drops(name, rest, parent))
         articles |= node.article and not node.dropped
         nodes += 1
+        node.parent = parent
+        if "=" in rest and (found := CLASS.search(rest)):
+            node.names = re.sub(r"[0-9]+", "", "".join(x or "" for x in found.groups()))
         parent.children.append(node)
         if name in RAW:
             end = re.compile(rf"</{name}\b[^>]*>", re.I).search(source, at)
@@ -269,26 +278,46 @@ def align(page: Node, wrapper: Node) -> dict[int, int]:
 
 
 @lru_cache(maxsize=256)
-def _reference(source: str) -> tuple[Page, dict[int, str]]:
+def _reference(source: str) -> Page:
+    return parse(source)
+
+
+def frame(source: str) -> int:
+    """Number of the page's structure near the root: its distinct element paths; 0 without text."""
     page = parse(source)
-    return page, {node.place * ORDINALS + min(nth, ORDINALS - 1): text for node, nth, text in page.blocks}
+    if not page.blocks:
+        return 0
+    paths, todo = set(), [(page.root, "", 0)]
+    while todo:
+        node, path, depth = todo.pop()
+        paths.add(path)
+        if depth < FRAME:
+            todo.extend((c, f"{path}/{c.tag}", depth + 1) for c in node.children)
+    return 1 + _number("\n".join(sorted(paths)))
+
+
+def _number(key: str) -> int:
+    return int.from_bytes(hashlib.blake2b(key.encode("utf-8", "surrogatepass"), digest_size=7).digest(), "big")
+
 
+def _slot(node: Node, nth: int, places: dict[int, int]) -> int:
+    """Place in the wrapper, or else (below 0) the path from the nearest node that has one."""
+    nth, path = min(nth, ORDINALS - 1), []
+    while node.place not in places:
+        path.append(f"{node.tag}.{node.names}")
+        node = node.parent
+    place = places[node.place] * ORDINALS + nth
+    return -1 - _number(f"{place} {'/'.join(path)}") if path else place
 
-def slots(source: str, reference: str) -> list[tuple[str, int, bool, bool]]:
-    """(text, slot, same as in the wrapper, in the article) of each block of the page's region.
+
+def slots(source: str, reference: str) -> list[tuple[str, int, bool]]:
+    """(text, slot, in the article) of each block of the page's region.
 
     The region is the article where the page marks one, else all that is not dropped.
     """
-    wrapper, texts = _reference(reference)
     page = parse(source)
-    places = align(page.root, wrapper.root)
-    out = []
-    for node, nth, text in page.blocks:
-        if page.articles and not node.article:
-            continue
-        slot = places[node.place] * ORDINALS + min(nth, ORDINALS - 1) if node.place in places else -1
-        out.append((text, slot, texts.get(slot) == text, node.article))
-    return out
+    places = align(page.root, _reference(reference).root)
+    return [(text, _slot(node, nth, places), node.article) for node, nth, text in page.blocks if node.article or not page.articles]
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
@@ -296,37 +325,46 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", source
 
     Left out are the parts that their element, class, id or role names as no article, everything
     outside the article where a page marks one, and the template of the host. A host's wrapper is
-    the page of smallest hash; each page is matched against it alone, and only counts per slot are
-    summed, so a host of any size is spread over all tasks. A slot is template if it holds the
-    same text on 90 % of at least 5 pages that differ from the wrapper (95 % of 20 inside a marked
-    article). Pages that equal the wrapper in all blocks do not vote: copies make no template.
+    a page with text of its most common structure near the root; each page is matched against it
+    alone. What the wrapper lacks gets a slot by its path from the nearest matched node, so
+    optional blocks and other layouts vote too. Only counts per slot and text are summed, so a
+    host of any size is spread over all tasks. A text is template where it fills its slot on 90 %
+    of at least 5 further pages (95 % of 20 inside a marked article). Pages that agree in all
+    blocks have one vote: copies make no template.
 
     NULL or empty html gives an empty text, a NULL or odd url the host ''; repeated rows give
     repeated rows; an empty table gives none. Whole pages are read.
     """
     host = F.coalesce(F.regexp_extract(F.lower("url"), r"^[a-z][a-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1), F.lit(""))
     rows = pick(pages, page_id=page_id, url=url, html=source).withColumn("host", host).withColumn("html", F.coalesce("html", F.lit("")))
-    chosen = rows.groupBy("host").agg(F.min(F.xxhash64("url", F.length("html"))).alias("h"))
-    chosen = rows.join(chosen, "host").where(F.xxhash64("url", F.length("html")) == F.col("h"))
-    wrappers = through_table(chosen.groupBy("host").agg(F.min("html").alias("wrapper")), "wrappers")
+    rows = rows.withColumn("h", F.xxhash64("url", "html"))
+
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"host": batch["host"], "h": batch["h"], "frame": [frame(page) for page in batch["html"]]})
+
+    frames = rows.select("host", "h", "html").mapInPandas(look, "host string, h bigint, frame bigint").where("frame > 0")
+    frames = frames.groupBy("host", "frame").agg(F.count("*").alias("n"), F.min("h").alias("h"))
+    chosen = frames.groupBy("host").agg(F.max_by("h", F.struct("n", "h")).alias("h"))
+    wrappers = through_table(rows.join(chosen, ["host", "h"]).groupBy("host").agg(F.min("html").alias("wrapper")), "wrappers")
 
     def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            blocks = []
-            for page, wrapper in zip(batch["html"], batch["wrapper"], strict=True):
-                found = slots(page, wrapper)
-                copy = all(same for _, _, same, _ in found)
-                blocks.append([{"text": t, "slot": s, "same": same, "article": a, "votes": s >= 0 and not copy} for t, s, same, a in found])
+            found = [slots(page, wrapper) for page, wrapper in zip(batch["html"], batch["wrapper"], strict=True)]
+            blocks = [[{"text": t, "slot": s, "article": a} for t, s, a in page] for page in found]
             yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "host": batch["host"], "blocks": blocks})
 
     kind = rows.schema["page_id"].dataType.simpleString()
-    schema = f"page_id {kind}, url string, host string, blocks array<struct<text:string,slot:bigint,same:boolean,article:boolean,votes:boolean>>"
-    found = through_table(rows.join(wrappers, "host").mapInPandas(match, schema), "blocks")
-    votes = found.select("host", F.explode("blocks").alias("b")).where("b.votes").groupBy("host", "b.slot", "b.article")
-    votes = votes.agg(F.count("*").alias("n"), F.count_if(F.col("b.same")).alias("same"))
-    enough = lambda rule: (F.col("n") >= rule[1]) & (F.col("same") >= rule[0] * F.col("n"))
+    schema = f"page_id {kind}, url string, host string, blocks array<struct<text:string,slot:bigint,article:boolean>>"
+    matched_rows = rows.join(wrappers, "host", "left").withColumn("wrapper", F.coalesce("wrapper", F.lit(""))).drop("h")
+    found = through_table(matched_rows.mapInPandas(match, schema), "blocks")
+    filled = lambda b: F.struct(b["slot"].alias("slot"), b["article"].alias("article"), F.xxhash64(b["slot"], b["text"]).alias("filled"))
+    voters = found.groupBy("host", F.xxhash64("blocks").alias("page")).agg(F.first(F.transform("blocks", filled)).alias("blocks"))
+    votes = voters.select("host", F.explode("blocks").alias("b")).groupBy("host", "b.slot", "b.article", "b.filled").agg(F.count("*").alias("same"))
+    votes = votes.groupBy("host", "slot", "article").agg(F.sum("same").alias("n"), F.max_by("filled", F.struct("same", "filled")).alias("filled"), F.max("same").alias("same"))
+    enough = lambda rule: (F.col("n") > rule[1]) & (F.col("same") - 1 >= rule[0] * (F.col("n") - 1))
     template = votes.where(F.when(F.col("article"), enough(INSIDE)).otherwise(enough(OUTSIDE)))
-    template = through_table(template.groupBy("host").agg(F.collect_set("slot").alias("template")), "template")
-    content = F.filter("blocks", lambda b: ~(b["same"] & F.coalesce(F.array_contains("template", b["slot"]), F.lit(False))))
+    template = through_table(template.groupBy("host").agg(F.collect_set("filled").alias("template")), "template")
+    content = F.filter("blocks", lambda b: ~F.coalesce(F.array_contains("template", F.xxhash64(b["slot"], b["text"])), F.lit(False)))
     joined = found.join(template, "host", "left")
     return joined.select("page_id", "url", F.array_join(F.transform(content, lambda b: b["text"]), "\n").alias("text"))

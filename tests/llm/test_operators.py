@@ -202,6 +202,22 @@ def test_extract(spark):
     assert wrappers.extract(df).count() == len(pages) and wrappers.extract(df.limit(0)).count() == 0
 
 
+def test_template_does_not_hang_on_one_page(spark):
+    """Empty pages, an error page, another layout and an optional notice on one host."""
+    notice = "<div class=hint><p>We moved</p></div>"
+    usual = lambda i: f"<html><body>{notice if i % 5 < 3 else ''}<section><p>Welcome</p></section><div><p>Body {i}</p></div></body></html>"
+    other = lambda i: f"<table><tr><td>Old menu</td></tr><tr><td><p>Row {i}</p></td></tr></table>"
+    pages = [(i, f"http://h.example/{i}", usual(i)) for i in range(40)] + [(100 + i, f"http://h.example/o{i}", other(i)) for i in range(12)]
+    pages += [(200 + i, f"http://h.example/e{i}", None if i % 2 else "") for i in range(60)]
+    pages += [(300, "http://h.example/x", "<html><body><div><p>Not found</p></div></body></html>")]
+    pages += [(400, "http://h.example/copy", "<html><body><h2><p>Copied</p></h2></body></html>")] * 30
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in wrappers.extract(df).collect()}
+    assert all(got[i] == f"Body {i}" for i in range(40)), "the optional notice is template as well"
+    assert all(got[100 + i] == f"Row {i}" for i in range(12)), "so is the menu of the other layout"
+    assert all(got[200 + i] == "" for i in range(60)) and got[300] == "Not found" and got[400] == "Copied"
+
+
 def test_tree_matching():
     rng = random.Random(6)
 
