@@ -47,7 +47,7 @@ ENDS = {
 
 #: Elements and names (in class, id or role) that never hold the article.
 NOT_TEXT = frozenset(
-    "head script style noscript template nav footer aside form button select textarea iframe object svg canvas menu dialog title".split()
+    "head script style noscript template nav footer aside button select textarea iframe object svg canvas menu dialog title".split()
 )
 NOT_NAMES = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs footer contentinfo sidebar aside complementary ad ads advert adverts "
@@ -55,9 +55,14 @@ NOT_NAMES = frozenset(
     "newsletter subscribe subscription comment comments disqus respond share sharing social related recommended login search "
     "toolbar alert".split()
 )
+#: Words that do not change what a joined name such as site-nav or comment-list stands for.
+LAYOUT = frozenset(
+    "site page main top bottom left right primary secondary list item items bar box block body wrapper wrap container inner outer area "
+    "section widget banner links posts articles form".split()
+)
 #: These only count outside of an article, which may have a heading of its own.
 PAGE_NAMES = frozenset("header masthead banner".split())
-ROOTS = frozenset("html body main article".split())
+ROOTS = frozenset("html body main".split())
 
 #: A slot is template if its text is the same on this share of at least so many further, differing pages.
 OUTSIDE, INSIDE = (0.9, 5), (0.95, 20)
@@ -72,6 +77,7 @@ class Node:
     place: int
     article: bool = False
     dropped: bool = False
+    doubtful: bool = False  # a form or a name says that it is no article
     children: list[Node] = field(default_factory=list)
     parent: Node | None = field(default=None, repr=False, compare=False)
     names: str = ""  # its class, without digits
@@ -87,19 +93,58 @@ class Page:
 
 
 def _drops(tag: str, rest: str, parent: Node) -> bool:
+    """Whether the element never holds the article or is hidden."""
     if tag in NOT_TEXT or (tag == "header" and not parent.article):
         return True
-    if tag in ROOTS or "=" not in rest and "hidden" not in rest:
-        return False
-    if HIDDEN.search(rest):
+    return tag not in ROOTS and ("hidden" in rest.lower() or "display" in rest.lower()) and bool(HIDDEN.search(rest))
+
+
+def _named(tag: str, rest: str, parent: Node) -> bool:
+    """Whether a form, or a whole name in class, id or role, stands for something other than the article."""
+    if tag == "form":
         return True
+    if tag in ROOTS or "=" not in rest:
+        return False
     for found in NAMES.findall(rest):
-        names = {w.lower() for w in WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", "".join(found)))}
-        if names & NOT_NAMES or (names & PAGE_NAMES and not parent.article):
-            return True
+        for name in "".join(found).split():
+            words = [w.lower() for w in WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", name))]
+            known = [w in NOT_NAMES or (w in PAGE_NAMES and not parent.article) for w in words]
+            if any(known) and all(k or w in LAYOUT for k, w in zip(known, words, strict=True)):
+                return True
     return False
 
 
+def _settle(page: Page) -> None:
+    """Drop the doubtful parts of a page, except those that hold its article.
+
+    A form stays if it holds an article or main, or most of the page's text; a named part only
+    if no article or main lies outside of all of these.
+    """
+    order, todo = [], [page.root]
+    while todo:
+        node = todo.pop()
+        order.append(node)
+        todo.extend(node.children)
+    size, holds = dict.fromkeys((n.place for n in order), 0), dict.fromkeys((n.place for n in order), False)
+    for node, _, text in page.blocks:
+        size[node.place] += len(text)
+    for node in reversed(order):  # children before parents
+        holds[node.place] |= not node.dropped and not node.doubtful and node.tag in ("article", "main")
+        if node.parent is not None:
+            size[node.parent.place] += size[node.place]
+            holds[node.parent.place] |= holds[node.place] and not node.doubtful
+    apart = holds[page.root.place]
+    for node in order:  # parents before children
+        if node.parent is not None and node.parent.dropped:
+            node.dropped = True
+        elif node.doubtful and (node.tag == "form" or not apart):
+            node.dropped |= not (holds[node.place] or 2 * size[node.place] > size[page.root.place])
+        elif node.doubtful:
+            node.dropped = True
+    page.blocks = [b for b in page.blocks if not b[0].dropped]
+    page.articles = any(n.article and not n.dropped for n in order)
+
+
 def parse(source: str) -> Page:
     """Block elements as a tree, and the text blocks in page order, without dropped parts."""
     root = Node("#page", 0)
@@ -107,7 +152,7 @@ def parse(source: str) -> Page:
     open_: dict[str, int] = {}
     blocks: list[tuple[Node, int, str]] = []
     parts: list[str] = []
-    nodes, at, articles, hide = 1, 0, False, 0  # hide: open inline elements that are dropped
+    nodes, at, hide = 1, 0, 0  # hide: open inline elements that are dropped
 
     def flush() -> None:
         if parts:
@@ -159,7 +204,7 @@ def parse(source: str) -> Page:
             continue
         parent = stack[-1][1]
         if name in INLINE:
-            dropped = _drops(name, rest, parent)
+            dropped = _drops(name, rest, parent) or _named(name, rest, parent)
             hide += dropped
             stack.append(("!" + name if dropped else name, parent))
             open_[name] = open_.get(name, 0) + 1
@@ -175,8 +220,9 @@ def parse(source: str) -> Page:
                 pop_to(depth)
         flush()
         parent = stack[-1][1]
-        node = Node(name, nodes, parent.article or name in ("article", "main"), parent.dropped or hide > 0 or _drops(name, rest, parent))
-        articles |= node.article and not node.dropped
+        doubtful = _named(name, rest, parent)
+        article = parent.article or (name in ("article", "main") and not doubtful)
+        node = Node(name, nodes, article, parent.dropped or hide > 0 or _drops(name, rest, parent), doubtful)
         nodes += 1
         node.parent = parent
         if "=" in rest and (found := CLASS.search(rest)):
@@ -193,7 +239,9 @@ def parse(source: str) -> Page:
     pop_to(1)
     flush()
     _shapes(root)
-    return Page(root, blocks, articles)
+    page = Page(root, blocks, False)
+    _settle(page)
+    return page
 
 
 _SHAPES: dict[tuple, int] = {}
@@ -323,7 +371,8 @@ def slots(source: str, reference: str) -> list[tuple[str, int, bool]]:
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
     """One row per page: page_id, url, text (blocks joined by a line feed; empty if none).
 
-    Left out are the parts that their element, class, id or role names as no article, everything
+    Left out are the parts that their element, or a whole name in class, id or role, says are no
+    article (unless they hold the article or, on a page without one, most of its text), everything
     outside the article where a page marks one, and the template of the host. A host's wrapper is
     a page with text of its most common structure near the root; each page is matched against it
     alone. What the wrapper lacks gets a slot by its path from the nearest matched node, so

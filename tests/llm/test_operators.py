@@ -218,6 +218,28 @@ def test_template_does_not_hang_on_one_page(spark):
     assert all(got[200 + i] == "" for i in range(60)) and got[300] == "Not found" and got[400] == "Copied"
 
 
+@pytest.mark.parametrize(
+    ("page", "expected"),
+    [
+        ("<div class='layout has-sidebar'><article><p>A</p></article><div class=sidebar>s</div></div>", "A"),
+        ("<div class='post comments-open'><p>A</p></div><p>b</p>", "A b"),
+        ("<div class=search-results><p>A</p></div>", "A"),
+        ("<article><p>A</p><section id=related-work><p>B</p></section><div class=share>s</div></article>", "A B"),
+        ("<form id=aspnet><div><article><p>A</p></article></div><div class=comments>c</div></form>", "A"),
+        ("<form><p>A long body of the page</p></form><p>b</p>", "A long body of the page b"),
+        ("<p>A long body of the page</p><form><p>mail</p></form>", "A long body of the page"),
+        ("<div class=sidebar><main><p>A</p></main></div><p>b</p>", "A"),
+        ("<article><p>A</p></article><article class=comment><p>A much longer answer</p></article>", "A"),
+        ("<article><p>A</p></article><div class=related><article><p>Another one, longer</p></article></div>", "A"),
+        ("<p>A long body</p><ul class=comment-list><li>c</ul><div class=site-nav>n</div>", "A long body"),
+        ("<p>A long body</p><div style='display:none'><article>x</article></div><div hidden>y</div>", "A long body"),
+    ],
+)
+def test_names_drop_no_article(page, expected):
+    found = wrappers.parse(f"<html><body>{page}</body></html>")
+    assert " ".join(t for node, _, t in found.blocks if node.article or not found.articles) == expected
+
+
 def test_tree_matching():
     rng = random.Random(6)
 
