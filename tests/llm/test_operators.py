@@ -101,6 +101,29 @@ def test_secrets(docs, rows, empty):
     assert secrets.find_secrets(empty).count() == 0
 
 
+def test_short_secrets_among_ordinary_strings(spark):
+    """Planted keys of 20 to 40 characters among thousands of paths, names and dates."""
+    rng = random.Random(12)
+    word = lambda: rng.choice(["user", "local", "python", "packages", "request", "handler", "Index", "report", "Client", "archive", "window", "thread"])
+    shapes = [
+        lambda: f"/usr/{word()}/{word()}/{word()}-{rng.randint(1, 99)}/{word()}",
+        lambda: f"get_{word()}_{word()}_from_{word()}_v{rng.randint(1, 9)}",
+        lambda: f"{word()}{word().title()}{word().title()}{word().title()}{rng.randint(1, 9)}",
+        lambda: f"{word()}-2024-{rng.randint(10, 12)}-{rng.randint(10, 28)}T{rng.randint(100000, 235959)}",
+    ]
+    rows = [(i, f"see {rng.choice(shapes)()} here") for i in range(4000)]
+    keys = {}
+    for n in (20, 24, 32, 40):
+        for name in ("alnum", "base64") * 10:
+            keys[4000 + len(keys)] = "".join(rng.choice(secrets.ALPHABETS[name]) for _ in range(n))
+    keys[5000] = f"/srv/{word()}/{word()}/{keys[4020]}/{word()}/{word()}"
+    rows += [(i, f"see {k} here") for i, k in keys.items()]
+    found = {r.doc_id for r in secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).where("n_random > 0").collect()}
+    share = lambda first, last: len(found & set(range(first, last))) / (last - first)
+    assert share(4000, 4020) >= 0.8 and share(4020, 4040) >= 0.8 and share(4040, 4080) >= 0.95, "20, 24, and 32 or 40 characters"
+    assert 5000 in found and len(found - keys.keys()) <= 0.1 * len(found)
+
+
 def test_mix(spark, docs, rows, empty):
     got = mixing.mix(docs).collect()
     assert len(got) == len(rows) and mixing.mix(empty).count() == 0
