@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepmark.llm import decontaminate, embedding_dedup, language, mixing, ngram_join, quality, secrets, suffix_dedup, token_files, wrappers
+from stepmark.llm import (
+    alignment,
+    collocations,
+    decontaminate,
+    embedding_dedup,
+    language,
+    mixing,
+    ngram_join,
+    quality,
+    secrets,
+    sharding,
+    suffix_dedup,
+    token_files,
+    wrappers,
+)
 from stepmark.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,6 +124,53 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = sharding.shard(_table(spark, sf_dir, "documents"))
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str, tokenizers: tuple[str, str] | None = None) -> DataFrame:
+    return alignment.align(_table(spark, sf_dir, "documents"), *(tokenizers or alignment.default_tokenizers()))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(_table(spark, sf_dir, "documents"))
+
+
+COLLOCATIONS_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')) AS piece
+  FROM documents WHERE text IS NOT NULL),
+words AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+grams AS (
+  SELECT lang, k::INTEGER AS size, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM places, range(1, 6) t(k) WHERE i + k - 1 <= len(w)),
+counts AS (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY lang, size, phrase HAVING count(*) >= 100),
+found AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS parts FROM counts WHERE size > 1),
+cuts AS (
+  SELECT f.lang, f.phrase, f.a, t.n, k, l.f AS l, r.f AS r,
+         ((1000::HUGEINT * f.a * t.n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM found f CROSS JOIN range(1, 5) c(k) JOIN totals t ON t.lang = f.lang
+  JOIN counts l ON l.lang = f.lang AND l.phrase = array_to_string(f.parts[1:k], ' ')
+  JOIN counts r ON r.lang = f.lang AND r.phrase = array_to_string(f.parts[k + 1:], ' ')
+  WHERE k < f.size),
+weakest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM cuts),
+covers AS (
+  SELECT lang, array_to_string(parts[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+  FROM found, range(2, 5) t(m), range(1, 5) s(i) WHERE m < size AND i + m - 1 <= size GROUP BY ALL),
+kept AS (
+  SELECT w.lang, w.phrase, w.a, w.l, w.r, w.n, w.score
+  FROM weakest w LEFT JOIN covers c ON c.lang = w.lang AND c.phrase = w.phrase
+  WHERE place = 1 AND (c.longer IS NULL OR 100 * c.longer < 100 * w.a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -122,8 +183,11 @@ def queries() -> dict[str, Query]:
         "op8_language_id": op8_language_id,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_decontaminate": op10_decontaminate,
+        "op11_sharding": op11_sharding,
+        "op12_token_alignment": op12_token_alignment,
+        "op13_collocations": op13_collocations,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_source_mix": MIX_SQL}
+    return {"op7_source_mix": MIX_SQL, "op13_collocations": COLLOCATIONS_SQL}

@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="the given tab
 
 
 def test_registered():
-    assert {int(n[2:].split("_")[0]) for n in llm.queries()} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in llm.queries()} == set(range(1, 14))
     assert {"pipeline", *llm.queries()} <= set(entry.queries())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "ngram_join", "decontaminate", "source_mix", "token_files"]
 
