@@ -18,6 +18,7 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -30,9 +31,11 @@ from stepmark.llm.common import pick, through_table
 #: Before each space that follows something other than white space.
 PIECE = re.compile(r"(?<=\S)(?= )")
 #: Pieces, and their characters, that a worker keeps.
-MOST_CACHED, MOST_CHARS = 400_000, 32_000_000
+MOST_CACHED, MOST_CHARS = 200_000, 16_000_000
 #: Texts that are aligned together, and rows of a task's counts that are kept before they go on.
-TEXTS, WAITING = 256, 1_000_000
+TEXTS, WAITING = 64, 1_000_000
+#: Pieces that are encoded as one text.
+JOINED = 512
 ALIGNED = "doc_id long, n_a long, n_b long, groups_sha256 string, links array<int>"
 
 
@@ -100,8 +103,11 @@ class Aligner:
         self.sizes_a = np.array([len(x) for x in self.bytes_a], dtype=np.int64)
         self.sizes_b = np.array([len(x) for x in self.bytes_b], dtype=np.int64)
         self.n_b = len(self.bytes_b)
+        # Each id with the mark after it: next token, other tokenizer, next group, next piece.
+        self.marked = [f"{i}{m}" for i in range(max(len(self.bytes_a), self.n_b)) for m in ",|;\n"]
         # Spans of the proto count characters or bytes, as the release has it.
-        self.in_bytes = self.b.encode("é", **_proto(self.b)).pieces[-1].end == 2
+        self.proto = _proto(self.b)
+        self.in_bytes = self.b.encode("é", **self.proto).pieces[-1].end == 2
         self.space = [self.b.piece_to_id("▁")]
         self.clear()
 
@@ -114,96 +120,123 @@ class Aligner:
         self.link_ends = np.zeros(1 + (1 << 12), dtype=np.int64)
         self.links = np.zeros(1 << 14, dtype=np.int64)
 
-    def _spans_a(self, pieces: list[str]):
+    def _spans_a(self, texts: list[str]):
         ids, spans, counts = [], [], []
-        for e in self.a.encode_batch(pieces, add_special_tokens=False):
-            ids.extend(e.ids)
-            spans.extend(e.offsets)
-            counts.append(len(e.ids))
-        return ids, spans, counts
-
-    def _spans_b(self, pieces: list[str]):
-        ids, spans, counts = [], [], []
-        kind = _proto(self.b)
-        for piece in pieces:
-            # The processor adds the space that every piece begins with.
-            if piece == " ":
+        for e in self.a.encode_batch(texts, add_special_tokens=False):
+            ids += e.ids
+            spans += e.offsets
+            counts.append(len(e))
+        return ids, np.fromiter(chain.from_iterable(spans), dtype=np.int64, count=2 * len(spans)).reshape(-1, 2), counts
+
+    def _spans_b(self, texts: list[str]):
+        ids, starts, stops, counts = [], [], [], []
+        kind = self.proto
+        for text in texts:
+            # The processor adds the space that every text begins with.
+            if text == " ":
                 ids += self.space
-                spans.append((0, 1))
+                starts.append(0)
+                stops.append(1)
                 counts.append(1)
                 continue
-            found = self.b.encode(piece[1:], **kind).pieces
-            spans += [(p.begin + 1 if k else 0, p.end + 1) for k, p in enumerate(found)]
+            found = self.b.encode(text[1:], **kind).pieces
             ids += [p.id for p in found]
+            starts += [p.begin + 1 for p in found]
+            stops += [p.end + 1 for p in found]
+            if found:
+                starts[-len(found)] = 0
             counts.append(len(found))
-        return ids, spans, counts
-
-    def _add(self, pieces: list[str]) -> None:
-        """Align new pieces, all beginning with a space."""
-        coded = [p.encode() for p in pieces]
-        whole = b"".join(coded)
-        self.held += len(whole)
+        return ids, np.array([starts, stops], dtype=np.int64).T, counts
+
+    def _side(self, blocks: list[str], coded: list[bytes], bases: np.ndarray, chars: np.ndarray, of_a: bool):
+        """Ids, block and byte end of all tokens of one tokenizer, and which blocks they spell."""
+        table, lengths = (self.bytes_a, self.sizes_a) if of_a else (self.bytes_b, self.sizes_b)
+        ids, span, counts = (self._spans_a if of_a else self._spans_b)(blocks)
+        ids, counts = np.array(ids, dtype=np.int64), np.array(counts, dtype=np.int64)
+        block = np.repeat(np.arange(len(blocks)), counts)
+        if of_a or not self.in_bytes:
+            first_char = np.cumsum([0, *map(len, blocks)])[:-1]
+            place = chars[first_char[block][:, None] + span]
+        else:
+            place = bases[block][:, None] + span
+        last = np.cumsum(counts)
+        first = np.zeros(len(ids), dtype=bool)
+        first[(last - counts)[counts > 0]] = True
+        spelt = [table[i] for i in ids.tolist()]
+        good = np.array([b"".join(spelt[e - n : e]) == c for e, n, c in zip(last.tolist(), counts.tolist(), coded, strict=True)], dtype=bool)
+        return ids, block, ends(place[:, 0], place[:, 1], lengths[ids], first, bases[block]), good
+
+    def _add(self, pieces: list[str], joined: int) -> None:
+        """Align new pieces, all beginning with a space. Those that end in something other than
+        white space are encoded many at a time: neither tokenizer joins them."""
+        pieces = sorted(pieces, key=lambda p: p[-1].isspace())
+        whole = sum(not p[-1].isspace() for p in pieces) if joined > 1 else 0
+        cuts = [*range(0, whole, joined), *range(whole, len(pieces) + 1)]
+        blocks = ["".join(pieces[i:j]) for i, j in zip(cuts, cuts[1:], strict=False)]
+        of_piece = np.repeat(np.arange(len(blocks)), np.diff(cuts))
+        coded = [b.encode() for b in blocks]
         sizes = np.array([len(c) for c in coded], dtype=np.int64)
         bases = np.cumsum(sizes) - sizes
-        # byte place of each character of all pieces, and the end
-        chars = np.flatnonzero((np.frombuffer(whole, np.uint8) & 0xC0) != 0x80)
-        chars = np.append(chars, len(whole))
-        first_char = np.cumsum([0, *map(len, pieces)])[:-1]
-        sides = []
-        for (ids, spans, counts), table, lengths, in_bytes in (
-            (self._spans_a(pieces), self.bytes_a, self.sizes_a, False),
-            (self._spans_b(pieces), self.bytes_b, self.sizes_b, self.in_bytes),
-        ):
-            ids, counts = np.array(ids, dtype=np.int64), np.array(counts, dtype=np.int64)
-            owner = np.repeat(np.arange(len(pieces)), counts)
-            span = np.array(spans, dtype=np.int64).reshape(-1, 2)
-            place = bases[owner][:, None] + span if in_bytes else chars[first_char[owner][:, None] + span]
-            first = np.zeros(len(ids), dtype=bool)
-            first[(np.cumsum(counts) - counts)[counts > 0]] = True
-            token_sizes = lengths[ids]
-            same = b"".join([table[i] for i in ids.tolist()]) == whole
-            good = np.bincount(owner, weights=token_sizes, minlength=len(pieces)) == sizes
-            if not (same and good.all()):
-                at = np.cumsum([0, *counts])
-                good = np.array([b"".join([table[i] for i in ids[at[c] : at[c + 1]].tolist()]) == coded[c] for c in range(len(pieces))], dtype=bool)
-            sides.append((ids, counts, owner, ends(place[:, 0], place[:, 1], token_sizes, first, bases[owner]), good))
-        (ids_a, n_a, owner_a, ends_a, good_a), (ids_b, n_b, owner_b, ends_b, good_b) = sides
+        self.held += int(sizes.sum())
+        # byte place of each character of all blocks, and the end
+        chars = np.append(np.flatnonzero((np.frombuffer(b"".join(coded), np.uint8) & 0xC0) != 0x80), sizes.sum())
+        piece_ends = chars[np.cumsum([len(p) for p in pieces])]
+        ids_a, block_a, ends_a, good_a = self._side(blocks, coded, bases, chars, True)
+        ids_b, block_b, ends_b, good_b = self._side(blocks, coded, bases, chars, False)
         good = good_a & good_b
-        keep_a, keep_b = np.flatnonzero(good[owner_a]), np.flatnonzero(good[owner_b])
+        keep_a, keep_b = good[block_a], good[block_b]
         ids_a, ends_a, ids_b, ends_b = ids_a[keep_a], ends_a[keep_a], ids_b[keep_b], ends_b[keep_b]
-        _, in_a, in_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
-        owner = owner_a[keep_a][in_a]
-        text_a, text_b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
-        groups: list[list[str]] = [[] for _ in pieces]
-        from_a = from_b = 0
-        for c, i, j in zip(owner.tolist(), (in_a + 1).tolist(), (in_b + 1).tolist(), strict=True):
-            groups[c].append(f"{','.join(text_a[from_a:i])}|{','.join(text_b[from_b:j])}")
-            from_a, from_b = i, j
+        common, in_a, in_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
+        good_piece = good[of_piece] & np.isin(piece_ends, common)
+        if joined > 1 and not good_piece.all():  # a tokenizer changes a text: find out which
+            alone = np.bincount(of_piece, weights=~good_piece)[of_piece] > 0
+            for some, n in ((alone, 1), (~alone, joined)):
+                if some.any():
+                    self._add([p for p, x in zip(pieces, some.tolist(), strict=True) if x], n)
+            return
+        owner = np.searchsorted(piece_ends, common)
         first = len(self.groups)
-        self.groups += [";".join(g) for g in groups]
-        for k, p in enumerate(pieces):
-            self.places[p] = first + k
         last = first + len(pieces)
+        self.groups += self._texts(ids_a, ids_b, in_a, in_b, owner, len(pieces))
+        self.places.update(zip(pieces, range(first, last), strict=True))
         if last > len(self.good):
             room = max(last, 2 * len(self.good))
             self.counts = np.resize(self.counts, (room, 2))
             self.good = np.resize(self.good, room)
             self.link_ends = np.resize(self.link_ends, room + 1)
-        self.counts[first:last, 0], self.counts[first:last, 1] = n_a, n_b
-        self.good[first:last] = good
+        for side, token_ends in enumerate((ends_a, ends_b)):
+            self.counts[first:last, side] = np.bincount(np.searchsorted(piece_ends, token_ends), minlength=len(pieces))
+        self.good[first:last] = good_piece
         used = self.link_ends[first]
         self.link_ends[first + 1 : last + 1] = used + np.cumsum(np.bincount(owner, minlength=len(pieces)))
         if used + len(owner) > len(self.links):
             self.links = np.resize(self.links, 2 * (used + len(owner)))
         self.links[used : used + len(owner)] = ids_a[in_a] * self.n_b + ids_b[in_b]
 
+    def _texts(self, ids_a, ids_b, in_a, in_b, owner, n: int) -> list[str]:
+        """The groups of each of `n` pieces as text: all tokens in order, each with the mark after it."""
+        group_a = np.searchsorted(in_a, np.arange(len(ids_a)))
+        group_b = np.searchsorted(in_b, np.arange(len(ids_b)))
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        mark = np.zeros(len(ids_a) + len(ids_b), dtype=np.int64)
+        mark[in_a] = 1
+        last_of_piece = np.append(owner[1:] != owner[:-1], True) if len(owner) else np.zeros(0, bool)
+        mark[len(ids_a) + in_b] = 2 + last_of_piece
+        codes = (np.concatenate([ids_a, ids_b]) * 4 + mark)[order]
+        marked = self.marked
+        lines = "".join([marked[c] for c in codes.tolist()]).split("\n")
+        out = [""] * n
+        for piece, line in zip(owner[last_of_piece].tolist(), lines, strict=False):
+            out[piece] = line
+        return out
+
     def align(self, texts: list[str | None]) -> Iterator[Aligned]:
         """The alignment of each text; NULL, empty and changed texts have no tokens."""
         if len(self.places) > MOST_CACHED or self.held > MOST_CHARS:
             self.clear()
         cut = [PIECE.split(" " + t) if t else [] for t in texts]
         if new := list(dict.fromkeys(p for pieces in cut for p in pieces if p not in self.places)):
-            self._add(new)
+            self._add(new, JOINED)
         get = self.places.__getitem__
         for pieces in cut:
             at = np.fromiter(map(get, pieces), dtype=np.int64, count=len(pieces))

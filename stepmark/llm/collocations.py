@@ -32,7 +32,7 @@ LONGEST = 5
 #: Bits of the two filters: word buckets, and survivors.
 WORD_BITS, PHRASE_BITS = 24, 26
 #: Bytes of text that a task works on at a time, and hashes it sums up before they go on.
-SLICE, WAITING = 4 << 20, 2 << 20
+SLICE, WAITING = 4 << 20, 4 << 20
 #: Phrase occurrences a hash partition should have.
 MASS = 4_000_000
 #: Lists of the best per language are first cut down in this many parts.
@@ -44,12 +44,13 @@ FOLD = bytes.maketrans(bytes(range(65, 91)) + b".,;:!?\x0b\x0c\r\t", bytes(range
 class MisraGries:
     """Counts of the heavy keys of a stream in at most `capacity` counters.
 
-    A count is too low by at most mass / (capacity + 1), so every key that occurs more often is
-    kept. Merging adds counters and takes the (capacity + 1)-th largest count off all of them.
+    A count is too low by at most `error` <= mass / (capacity + 1), so every key that occurs more
+    often is kept. Merging adds counters and takes the (capacity + 1)-th largest count off all.
     """
 
     def __init__(self, capacity: int):
         self.capacity = capacity
+        self.error = 0
         self.keys = np.zeros(0, dtype=np.uint64)
         self.counts = np.zeros(0, dtype=np.int64)
 
@@ -57,12 +58,30 @@ class MisraGries:
         self.keys, self.counts = summed(np.concatenate([self.keys, keys]), np.concatenate([self.counts, counts]))
         if len(self.keys) > self.capacity:
             place = len(self.keys) - self.capacity - 1
-            self.counts = self.counts - np.partition(self.counts, place)[place]
+            off = int(np.partition(self.counts, place)[place])
+            self.error += off
+            self.counts = self.counts - off
             left = self.counts > 0
             self.keys, self.counts = self.keys[left], self.counts[left]
 
     def merge(self, other: MisraGries) -> None:
         self.add(other.keys, other.counts)
+        self.error += other.error
+
+    def may_reach(self, threshold: int) -> np.ndarray:
+        """All keys that can have occurred `threshold` times."""
+        return self.keys[self.counts + self.error >= threshold]
+
+
+def packed(values: np.ndarray) -> bytes:
+    """64-bit values as compressed bytes: first all low bytes, then the next. Small values and
+    values that share their high bytes become short."""
+    return pa.compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, decompressed_size=8 * n, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, n).T).view(np.uint64).ravel()
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -173,42 +192,54 @@ def _likely(words: Words, heavy: np.ndarray, n: int) -> tuple[np.ndarray, np.nda
     return at[good], hashes[good]
 
 
-def _survivors(docs: DataFrame, heavy: np.ndarray, threshold: int, partitions: int, longest: int) -> DataFrame:
+def _survivors(docs: DataFrame, heavy: np.ndarray, threshold: int, total: int, longest: int) -> DataFrame:
     """(place): filter places of the phrases that survive the summary of their hash partition.
 
-    `partitions` is a power of two; the leading bits of a hash name its partition.
+    There are at most `longest - 1` phrases per word. The leading bits of a hash name its partition.
+    As many bits go over the wire as tell most phrases apart; those that are not are summed up
+    together, so more survive, never fewer.
     """
-    shift = np.uint64(64 - (partitions.bit_length() - 1)) if partitions > 1 else None
-
-    def send(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        keys, counts = summed(keys, counts)
-        part = (keys >> shift).astype(np.int64) if shift is not None else np.zeros(len(keys), np.int64)
+    most = max(1, (longest - 1) * total)
+    bits = max(PHRASE_BITS, min(64, most.bit_length() + 3))
+    partition_bits = (most // MASS).bit_length()
+    drop = np.uint64(64 - bits)
+
+    def send(grams: list[np.ndarray]) -> pa.RecordBatch:
+        keys, counts = np.unique(np.concatenate(grams) >> drop, return_counts=True)
+        part = (keys >> np.uint64(bits - partition_bits)).astype(np.int64)
         used, first = np.unique(part, return_index=True)
         cuts = [*first.tolist(), len(keys)]
-        blobs = [(keys[a:b].tobytes(), counts[a:b].astype(np.uint32).tobytes(), int(counts[a:b].sum())) for a, b in zip(cuts, cuts[1:], strict=False)]
-        columns = [pa.array(used, pa.int64()), pa.array([b[0] for b in blobs], pa.binary()), pa.array([b[1] for b in blobs], pa.binary()), pa.array([b[2] for b in blobs], pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, ["part", "keys", "counts", "mass"])
+        parts = [(keys[a:b], counts[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+        columns = [
+            pa.array(used, pa.int64()),
+            pa.array([len(k) for k, _ in parts], pa.int64()),
+            pa.array([packed(np.diff(k, prepend=np.uint64(0))) for k, _ in parts], pa.binary()),
+            pa.array([packed(c.astype(np.uint64)) for _, c in parts], pa.binary()),
+            pa.array([int(c.sum()) for _, c in parts], pa.int64()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["part", "size", "steps", "counts", "mass"])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, held = [], 0
+        grams, held = [], 0
         for lang, texts in _slices(batches):
             words = words_of(texts, lang)
             for n in range(2, longest + 1):
-                keys.append(_likely(words, heavy, n)[1])
-                held += len(keys[-1])
+                grams.append(_likely(words, heavy, n)[1])
+                held += len(grams[-1])
             if held >= WAITING:
-                yield send(np.concatenate(keys), np.ones(held, dtype=np.int64))
-                keys, held = [], 0
+                yield send(grams)
+                grams, held = [], 0
         if held:
-            yield send(np.concatenate(keys), np.ones(held, dtype=np.int64))
+            yield send(grams)
 
     def sum_up(group: pd.DataFrame) -> pd.DataFrame:
         summary = MisraGries(int(group["mass"].sum()) // threshold + 1)
-        for keys, counts in zip(group["keys"], group["counts"], strict=True):
-            summary.add(np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.uint32).astype(np.int64))
-        return pd.DataFrame({"place": np.unique(summary.keys >> np.uint64(64 - PHRASE_BITS)).astype(np.int64)})
+        for steps, counts, size in zip(group["steps"], group["counts"], group["size"], strict=True):
+            summary.add(np.cumsum(unpacked(steps, size), dtype=np.uint64), unpacked(counts, size).astype(np.int64))
+        places = summary.may_reach(threshold) >> np.uint64(bits - PHRASE_BITS)
+        return pd.DataFrame({"place": np.unique(places).astype(np.int64)})
 
-    dealt = docs.mapInArrow(deal, "part long, keys binary, counts binary, mass long")
+    dealt = docs.mapInArrow(deal, "part long, size long, steps binary, counts binary, mass long")
     return dealt.groupBy("part").applyInPandas(sum_up, "place long")
 
 
@@ -258,8 +289,7 @@ def frequent(docs: DataFrame, threshold: int = 100, longest: int = LONGEST, lang
     words = buckets.where("lang is not null").select("lang", "n")
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     heavy = _filter(buckets.where(F.col("lang").isNull() & (F.col("n") >= threshold)).select(F.col("bucket").alias("place")), WORD_BITS)
-    partitions = 1 << max(0, int((longest - 1) * total / MASS).bit_length())
-    alive = _filter(_survivors(rows, heavy, threshold, partitions, longest), PHRASE_BITS)
+    alive = _filter(_survivors(rows, heavy, threshold, total, longest), PHRASE_BITS)
     counts = _exact(rows, heavy, alive, longest).where(F.col("f") >= threshold)
     return through_table(counts, "phrases"), words
 

@@ -133,6 +133,7 @@ def test_alignment_of_pieces_is_that_of_whole_texts(both, monkeypatch):
     texts += [None, "", " ", "   ", "x" * 50_000, "日" * 3000]
     same_as_plain(both, texts)
     monkeypatch.setattr(alignment, "MOST_CACHED", 3)
+    monkeypatch.setattr(alignment, "JOINED", 2)
     for at in range(0, 60, 7):
         same_as_plain(both, texts[at : at + 7])
 
@@ -194,9 +195,12 @@ def test_misra_gries(streams, capacity):
     true = Counter(x for s in streams for x in s)
     for summary in (added, merged):
         held = dict(zip(summary.keys.tolist(), summary.counts.tolist(), strict=True))
-        assert len(held) <= capacity
+        assert len(held) <= capacity and summary.error * (capacity + 1) <= true.total()
         for key, n in true.items():
-            assert n - true.total() / (capacity + 1) <= held.get(key, 0) <= n
+            assert n - summary.error <= held.get(key, 0) <= n
+            assert n <= 3 or n < summary.error + 1 or key in summary.may_reach(n)
+    values = np.sort(np.array([x * 977 for s in streams for x in s], dtype=np.uint64))
+    assert (collocations.unpacked(collocations.packed(values), len(values)) == values).all()
 
 
 def brute_phrases(rows, threshold, longest, covered, top):
