@@ -8,7 +8,7 @@ byte-fallback pieces) share its span; their ends are the last sure cut and the b
 
 Neither tokenizer joins across a space that follows a character other than white space, so a text
 is the sum of its pieces cut there, every such place is a cut of both, and each distinct piece is
-encoded and aligned once per worker.
+encoded and aligned once while a worker remembers it.
 """
 
 from __future__ import annotations
@@ -30,8 +30,8 @@ from stepmark.llm.common import pick, through_table
 
 #: Before each space that follows something other than white space.
 PIECE = re.compile(r"(?<=\S)(?= )")
-#: Pieces, and their characters, that a worker keeps.
-MOST_CACHED, MOST_CHARS = 200_000, 16_000_000
+#: Pieces, and their characters, that a worker keeps, twice: those used lately and those before.
+MOST_CACHED, MOST_CHARS = 150_000, 8_000_000
 #: Texts that are aligned together, and rows of a task's counts that are kept before they go on.
 TEXTS, WAITING = 64, 1_000_000
 #: Pieces that are encoded as one text.
@@ -64,17 +64,18 @@ def _decoded_b(processor) -> list[bytes]:
     return [decoded(i) for i in range(processor.get_piece_size())]
 
 
-def ends(starts: np.ndarray, stops: np.ndarray, sizes: np.ndarray, first: np.ndarray, base: np.ndarray) -> np.ndarray:
-    """Byte ends of tokens from their coarse spans, refined by the bytes the tokens stand for.
+def ends(stops: np.ndarray, sizes: np.ndarray, first: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """Byte ends of tokens from the coarse ends of their spans, refined by the bytes they stand for.
 
-    `first` marks the first token of each piece, `base` is where its piece begins. A span as long
-    as its token is a sure cut. Others end as many bytes after the last sure cut (or the beginning
-    of the piece) as the tokens since stand for.
+    `first` marks the first token of each text, `base` is where its text begins. A span that is as
+    long, from the one before, as its token is a sure cut. Others end as many bytes after the last
+    sure cut (or the beginning of the text) as the tokens since stand for.
     """
     n = len(sizes)
     if n == 0:
         return np.zeros(0, dtype=np.int64)
     decoded = np.cumsum(sizes)
+    starts = np.where(first, base, np.append(0, stops[:-1]))
     sure = stops - starts == sizes
     at = np.arange(n)
     last = np.maximum.accumulate(np.where(sure, at, -1))
@@ -86,6 +87,47 @@ def ends(starts: np.ndarray, stops: np.ndarray, sizes: np.ndarray, first: np.nda
     return np.where(from_cut, after_cut, after_begin)
 
 
+class _Pieces:
+    """What is known of pieces, by place: token counts, groups as text, links, and whether both
+    tokenizers spell the piece."""
+
+    def __init__(self) -> None:
+        self.places: dict[str, int] = {}
+        self.held = 0
+        self.groups: list[str] = []
+        self.counts = np.zeros((1 << 12, 2), dtype=np.int64)
+        self.good = np.zeros(1 << 12, dtype=bool)
+        self.link_ends = np.zeros(1 + (1 << 12), dtype=np.int64)
+        self.links = np.zeros(1 << 14, dtype=np.int64)
+
+    def add(self, pieces: list[str], groups: list[str], counts: np.ndarray, good: np.ndarray, n_links: np.ndarray, links: np.ndarray) -> None:
+        first, last = len(self.groups), len(self.groups) + len(pieces)
+        if last > len(self.good):
+            room = max(last, 2 * len(self.good))
+            self.counts, self.good = np.resize(self.counts, (room, 2)), np.resize(self.good, room)
+            self.link_ends = np.resize(self.link_ends, room + 1)
+        used = self.link_ends[first]
+        if used + len(links) > len(self.links):
+            self.links = np.resize(self.links, 2 * (used + len(links)))
+        self.places.update(zip(pieces, range(first, last), strict=True))
+        self.held += sum(map(len, pieces))
+        self.groups += groups
+        self.counts[first:last], self.good[first:last] = counts, good
+        self.link_ends[first + 1 : last + 1] = used + np.cumsum(n_links)
+        self.links[used : used + len(links)] = links
+
+    def links_at(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many links each place has, and all of them in order."""
+        starts = self.link_ends[at]
+        n = self.link_ends[at + 1] - starts
+        shift = np.repeat(starts - (np.cumsum(n) - n), n)
+        return n, self.links[shift + np.arange(len(shift))]
+
+    @property
+    def full(self) -> bool:
+        return len(self.groups) > MOST_CACHED or self.held > MOST_CHARS
+
+
 class Aligner:
     """Aligned pieces, each distinct one done once: token counts, groups as text, links as pairs."""
 
@@ -109,75 +151,69 @@ class Aligner:
         self.proto = _proto(self.b)
         self.in_bytes = self.b.encode("é", **self.proto).pieces[-1].end == 2
         self.space = [self.b.piece_to_id("▁")]
+        if any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(self.n_b)):
+            raise ValueError("the piece vocabulary joins words")
         self.clear()
 
     def clear(self) -> None:
-        self.places: dict[str, int] = {}
-        self.held = 0
-        self.groups: list[str] = []
-        self.counts = np.zeros((1 << 12, 2), dtype=np.int64)  # n_a, n_b
-        self.good = np.zeros(1 << 12, dtype=bool)
-        self.link_ends = np.zeros(1 + (1 << 12), dtype=np.int64)
-        self.links = np.zeros(1 << 14, dtype=np.int64)
+        self.known, self.before = _Pieces(), _Pieces()
 
     def _spans_a(self, texts: list[str]):
-        ids, spans, counts = [], [], []
+        ids, stops, counts = [], [], []
         for e in self.a.encode_batch(texts, add_special_tokens=False):
             ids += e.ids
-            spans += e.offsets
+            stops += [stop for _, stop in e.offsets]
             counts.append(len(e))
-        return ids, np.fromiter(chain.from_iterable(spans), dtype=np.int64, count=2 * len(spans)).reshape(-1, 2), counts
+        return ids, stops, counts
 
     def _spans_b(self, texts: list[str]):
-        ids, starts, stops, counts = [], [], [], []
+        ids, stops, counts = [], [], []
         kind = self.proto
         for text in texts:
             # The processor adds the space that every text begins with.
             if text == " ":
                 ids += self.space
-                starts.append(0)
                 stops.append(1)
                 counts.append(1)
                 continue
             found = self.b.encode(text[1:], **kind).pieces
             ids += [p.id for p in found]
-            starts += [p.begin + 1 for p in found]
             stops += [p.end + 1 for p in found]
-            if found:
-                starts[-len(found)] = 0
             counts.append(len(found))
-        return ids, np.array([starts, stops], dtype=np.int64).T, counts
+        return ids, stops, counts
 
     def _side(self, blocks: list[str], coded: list[bytes], bases: np.ndarray, chars: np.ndarray, of_a: bool):
         """Ids, block and byte end of all tokens of one tokenizer, and which blocks they spell."""
         table, lengths = (self.bytes_a, self.sizes_a) if of_a else (self.bytes_b, self.sizes_b)
-        ids, span, counts = (self._spans_a if of_a else self._spans_b)(blocks)
-        ids, counts = np.array(ids, dtype=np.int64), np.array(counts, dtype=np.int64)
+        ids, stops, counts = (self._spans_a if of_a else self._spans_b)(blocks)
+        ids, stops, counts = (np.array(x, dtype=np.int64) for x in (ids, stops, counts))
         block = np.repeat(np.arange(len(blocks)), counts)
         if of_a or not self.in_bytes:
             first_char = np.cumsum([0, *map(len, blocks)])[:-1]
-            place = chars[first_char[block][:, None] + span]
+            stops = chars[first_char[block] + stops]
         else:
-            place = bases[block][:, None] + span
+            stops = bases[block] + stops
         last = np.cumsum(counts)
         first = np.zeros(len(ids), dtype=bool)
         first[(last - counts)[counts > 0]] = True
         spelt = [table[i] for i in ids.tolist()]
         good = np.array([b"".join(spelt[e - n : e]) == c for e, n, c in zip(last.tolist(), counts.tolist(), coded, strict=True)], dtype=bool)
-        return ids, block, ends(place[:, 0], place[:, 1], lengths[ids], first, bases[block]), good
-
-    def _add(self, pieces: list[str], joined: int) -> None:
-        """Align new pieces, all beginning with a space. Those that end in something other than
-        white space are encoded many at a time: neither tokenizer joins them."""
-        pieces = sorted(pieces, key=lambda p: p[-1].isspace())
-        whole = sum(not p[-1].isspace() for p in pieces) if joined > 1 else 0
-        cuts = [*range(0, whole, joined), *range(whole, len(pieces) + 1)]
-        blocks = ["".join(pieces[i:j]) for i, j in zip(cuts, cuts[1:], strict=False)]
+        return ids, block, ends(stops, lengths[ids], first, bases[block]), good
+
+    def _joined(self, pieces: list[str]) -> list[list[str]]:
+        """The pieces in lists, each a text that is cut into them. What ends in white space is alone."""
+        plain = [p for p in pieces if not p[-1].isspace()]
+        return [*(plain[i : i + JOINED] for i in range(0, len(plain), JOINED)), *([p] for p in pieces if p[-1].isspace())]
+
+    def _add(self, texts: list[list[str]]) -> None:
+        """Align new pieces, given in texts that begin with a space and are cut into pieces."""
+        pieces = list(chain.from_iterable(texts))
+        cuts = np.cumsum([0, *map(len, texts)])
+        blocks = ["".join(t) for t in texts]
         of_piece = np.repeat(np.arange(len(blocks)), np.diff(cuts))
         coded = [b.encode() for b in blocks]
         sizes = np.array([len(c) for c in coded], dtype=np.int64)
         bases = np.cumsum(sizes) - sizes
-        self.held += int(sizes.sum())
         # byte place of each character of all blocks, and the end
         chars = np.append(np.flatnonzero((np.frombuffer(b"".join(coded), np.uint8) & 0xC0) != 0x80), sizes.sum())
         piece_ends = chars[np.cumsum([len(p) for p in pieces])]
@@ -188,30 +224,17 @@ class Aligner:
         ids_a, ends_a, ids_b, ends_b = ids_a[keep_a], ends_a[keep_a], ids_b[keep_b], ends_b[keep_b]
         common, in_a, in_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
         good_piece = good[of_piece] & np.isin(piece_ends, common)
-        if joined > 1 and not good_piece.all():  # a tokenizer changes a text: find out which
-            alone = np.bincount(of_piece, weights=~good_piece)[of_piece] > 0
-            for some, n in ((alone, 1), (~alone, joined)):
-                if some.any():
-                    self._add([p for p, x in zip(pieces, some.tolist(), strict=True) if x], n)
-            return
+        if not good_piece.all():  # a tokenizer changes a text: find out which piece it is
+            changed = np.bincount(of_piece, weights=~good_piece, minlength=len(texts)) > 0
+            if any(x and len(t) > 1 for t, x in zip(texts, changed.tolist(), strict=True)):
+                for t, x in zip(texts, changed.tolist(), strict=True):
+                    self._add([t[: len(t) // 2], t[len(t) // 2 :]] if x and len(t) > 1 else [t])
+                return
         owner = np.searchsorted(piece_ends, common)
-        first = len(self.groups)
-        last = first + len(pieces)
-        self.groups += self._texts(ids_a, ids_b, in_a, in_b, owner, len(pieces))
-        self.places.update(zip(pieces, range(first, last), strict=True))
-        if last > len(self.good):
-            room = max(last, 2 * len(self.good))
-            self.counts = np.resize(self.counts, (room, 2))
-            self.good = np.resize(self.good, room)
-            self.link_ends = np.resize(self.link_ends, room + 1)
-        for side, token_ends in enumerate((ends_a, ends_b)):
-            self.counts[first:last, side] = np.bincount(np.searchsorted(piece_ends, token_ends), minlength=len(pieces))
-        self.good[first:last] = good_piece
-        used = self.link_ends[first]
-        self.link_ends[first + 1 : last + 1] = used + np.cumsum(np.bincount(owner, minlength=len(pieces)))
-        if used + len(owner) > len(self.links):
-            self.links = np.resize(self.links, 2 * (used + len(owner)))
-        self.links[used : used + len(owner)] = ids_a[in_a] * self.n_b + ids_b[in_b]
+        counts = [np.bincount(np.searchsorted(piece_ends, token_ends), minlength=len(pieces)) for token_ends in (ends_a, ends_b)]
+        n_links = np.bincount(owner, minlength=len(pieces))
+        groups = self._texts(ids_a, ids_b, in_a, in_b, owner, len(pieces))
+        self.known.add(pieces, groups, np.stack(counts, axis=1), good_piece, n_links, ids_a[in_a] * self.n_b + ids_b[in_b])
 
     def _texts(self, ids_a, ids_b, in_a, in_b, owner, n: int) -> list[str]:
         """The groups of each of `n` pieces as text: all tokens in order, each with the mark after it."""
@@ -232,22 +255,25 @@ class Aligner:
 
     def align(self, texts: list[str | None]) -> Iterator[Aligned]:
         """The alignment of each text; NULL, empty and changed texts have no tokens."""
-        if len(self.places) > MOST_CACHED or self.held > MOST_CHARS:
-            self.clear()
+        if self.known.full:
+            self.known, self.before = _Pieces(), self.known
         cut = [PIECE.split(" " + t) if t else [] for t in texts]
-        if new := list(dict.fromkeys(p for pieces in cut for p in pieces if p not in self.places)):
-            self._add(new, JOINED)
-        get = self.places.__getitem__
+        places, old = self.known.places, self.before.places
+        if missing := list(dict.fromkeys(p for pieces in cut for p in pieces if p not in places)):
+            if again := [p for p in missing if p in old]:
+                at = np.array([old[p] for p in again])
+                n_links, links = self.before.links_at(at)
+                self.known.add(again, [self.before.groups[i] for i in at.tolist()], self.before.counts[at], self.before.good[at], n_links, links)
+            if new := [p for p in missing if p not in old]:
+                self._add(self._joined(new))
+        known = self.known
         for pieces in cut:
-            at = np.fromiter(map(get, pieces), dtype=np.int64, count=len(pieces))
-            if not len(at) or not self.good[at].all():
+            at = np.array([places[p] for p in pieces], dtype=np.int64)
+            if not len(at) or not known.good[at].all():
                 yield NOTHING
                 continue
-            n_a, n_b = self.counts[at].sum(axis=0).tolist()
-            starts, stops = self.link_ends[at], self.link_ends[at + 1]
-            n = stops - starts
-            shift = np.repeat(starts - (np.cumsum(n) - n), n)
-            yield Aligned(n_a, n_b, ";".join([self.groups[i] for i in at.tolist()]), self.links[shift + np.arange(len(shift))])
+            n_a, n_b = known.counts[at].sum(axis=0).tolist()
+            yield Aligned(n_a, n_b, ";".join([known.groups[i] for i in at.tolist()]), known.links_at(at)[1])
 
 
 @dataclass(frozen=True)
@@ -336,7 +362,7 @@ def link_counts(aligned: DataFrame, n_b: int) -> DataFrame:
         def put():
             return pa.RecordBatch.from_arrays([pa.array(links, pa.int32()), pa.array(n, pa.int64())], ["link", "n"])
 
-        for batch in batches:
+        for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
             new, times = np.unique(batch["links"].flatten().to_numpy(zero_copy_only=False), return_counts=True)
             every, where = np.unique(np.concatenate([links, new]), return_inverse=True)
             n = np.bincount(where, weights=np.concatenate([n, times]), minlength=len(every)).astype(np.int64)
@@ -368,7 +394,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id", tex
     known, n, best = (counts[c].to_numpy() for c in ("link", "n", "best"))
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
             lists = batch["links"]
             at = np.searchsorted(known, lists.flatten().to_numpy(zero_copy_only=False))
             offsets = np.cumsum(np.append(0, lists.value_lengths().to_numpy(zero_copy_only=False)))

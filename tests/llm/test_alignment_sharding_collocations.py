@@ -152,9 +152,9 @@ def test_ends_of_tokens_that_share_a_character(both):
     assert got.n_a == len(encoded.ids) and sum(len(g.split("|")[0].split(",")) for g in got.groups.split(";")) == got.n_a
     # spans: a sure token, two that share a character of three bytes, a sure one
     n = lambda *x: np.array(x, dtype=np.int64)
-    assert alignment.ends(n(0, 1, 1, 4), n(1, 4, 4, 5), n(1, 2, 1, 1), n(1, 0, 0, 0).astype(bool), n(0, 0, 0, 0)).tolist() == [1, 3, 4, 5]
-    # a piece that begins at 7 with an unsure token is not refined from the piece before
-    assert alignment.ends(n(4, 7, 7), n(5, 10, 10), n(1, 1, 2), n(1, 1, 0).astype(bool), n(4, 7, 7)).tolist() == [5, 8, 10]
+    assert alignment.ends(n(1, 4, 4, 5), n(1, 2, 1, 1), n(1, 0, 0, 0).astype(bool), n(0, 0, 0, 0)).tolist() == [1, 3, 4, 5]
+    # a text that begins at 7 with an unsure token is not refined from the text before
+    assert alignment.ends(n(5, 10, 10), n(1, 1, 2), n(1, 1, 0).astype(bool), n(4, 7, 7)).tolist() == [5, 8, 10]
 
 
 def test_alignment(spark, both):
