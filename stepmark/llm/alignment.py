@@ -6,9 +6,10 @@ proto. A span is a coarse cut: where it has as many bytes as the token stands fo
 the token ends. Tokens that are parts of one character (byte-level pieces of a multibyte character,
 byte-fallback pieces) share its span; their ends are the last sure cut and the bytes decoded since.
 
-Neither tokenizer joins across a space that follows a character other than white space, so a text
-is the sum of its pieces cut there, every such place is a cut of both, and each distinct piece is
-encoded and aligned once while a worker remembers it.
+Neither tokenizer joins across a space that follows a character other than white space, nor a Latin
+letter or digit with a mark after it: A's pattern ends a token there, and no piece of B's vocabulary
+holds both (checked). So a text is the sum of its pieces cut there, every such place is a cut of
+both, and each distinct piece is encoded and aligned once while a worker remembers it.
 """
 
 from __future__ import annotations
@@ -28,8 +29,11 @@ from pyspark.sql import functions as F
 
 from stepmark.llm.common import pick, through_table
 
-#: Before each space that follows something other than white space.
-PIECE = re.compile(r"(?<=\S)(?= )")
+#: Before each space that follows something other than white space, and between a Latin letter or
+#: digit and a mark that ends a word.
+MARKS = ",.;:!?"
+PIECE = re.compile(rf"(?<=\S)(?= )|(?<=[0-9A-Za-zÀ-ÖØ-öø-ɏ])(?=[{MARKS}](?: |\Z))")
+JOINING = re.compile(rf"[^▁]▁|[0-9A-Za-zÀ-ÖØ-öø-ɏ][{MARKS}]")
 #: Pieces, and their characters, that a worker keeps, twice: those used lately and those before.
 MOST_CACHED, MOST_CHARS = 150_000, 8_000_000
 #: Texts that are aligned together, and rows of a task's counts that are kept before they go on.
@@ -151,12 +155,21 @@ class Aligner:
         self.proto = _proto(self.b)
         self.in_bytes = self.b.encode("é", **self.proto).pieces[-1].end == 2
         self.space = [self.b.piece_to_id("▁")]
-        if any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(self.n_b)):
-            raise ValueError("the piece vocabulary joins words")
+        vocabulary = (self.b.id_to_piece(i) for i in range(self.n_b))
+        if any(JOINING.search(piece) for piece in vocabulary):
+            raise ValueError("the piece vocabulary joins words, or words and marks")
         self.clear()
 
     def clear(self) -> None:
         self.known, self.before = _Pieces(), _Pieces()
+        self._add_marks()
+
+    def _add_marks(self) -> None:
+        """The pieces that do not begin with a space: each mark is one token of both."""
+        ids = [(self.a.encode(m, add_special_tokens=False).ids, self.b.encode(f"a{m}")[-1:]) for m in MARKS]
+        one = np.ones(len(MARKS), dtype=np.int64)
+        links = np.array([a * self.n_b + b for (a,), (b,) in ids])
+        self.known.add([*MARKS], [f"{a}|{b}" for (a,), (b,) in ids], np.stack([one, one], axis=1), one == 1, one, links)
 
     def _spans_a(self, texts: list[str]):
         ids, stops, counts = [], [], []
@@ -257,9 +270,11 @@ class Aligner:
         """The alignment of each text; NULL, empty and changed texts have no tokens."""
         if self.known.full:
             self.known, self.before = _Pieces(), self.known
+            self._add_marks()
         cut = [PIECE.split(" " + t) if t else [] for t in texts]
         places, old = self.known.places, self.before.places
-        if missing := list(dict.fromkeys(p for pieces in cut for p in pieces if p not in places)):
+        found = [[*map(places.get, pieces)] for pieces in cut]
+        if missing := [*dict.fromkeys(p for pieces, at in zip(cut, found, strict=True) for p, i in zip(pieces, at, strict=True) if i is None)]:
             if again := [p for p in missing if p in old]:
                 at = np.array([old[p] for p in again])
                 n_links, links = self.before.links_at(at)
@@ -267,13 +282,15 @@ class Aligner:
             if new := [p for p in missing if p not in old]:
                 self._add(self._joined(new))
         known = self.known
-        for pieces in cut:
-            at = np.array([places[p] for p in pieces], dtype=np.int64)
-            if not len(at) or not known.good[at].all():
+        for pieces, codes in zip(cut, found, strict=True):
+            if None in codes:
+                codes = [places[p] if i is None else i for p, i in zip(pieces, codes, strict=True)]
+            at = np.array(codes, dtype=np.int64)
+            if not codes or not known.good[at].all():
                 yield NOTHING
                 continue
             n_a, n_b = known.counts[at].sum(axis=0).tolist()
-            yield Aligned(n_a, n_b, ";".join([known.groups[i] for i in at.tolist()]), known.links_at(at)[1])
+            yield Aligned(n_a, n_b, ";".join([known.groups[i] for i in codes]), known.links_at(at)[1])
 
 
 @dataclass(frozen=True)
@@ -342,6 +359,7 @@ def align_texts(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id
                     [part["doc_id"], pa.array([r.n_a for r in rows], pa.int64()), pa.array([r.n_b for r in rows], pa.int64()), pa.array(sums, pa.string()), pa.ListArray.from_arrays(pa.array(offsets), links)],
                     ["doc_id", "n_a", "n_b", "groups_sha256", "links"],
                 )
+        aligner(path_a, path_b).clear()  # the worker lives on
 
     rows = pick(docs, doc_id=doc_id, text=text).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return through_table(rows.mapInArrow(work, ALIGNED), "aligned")

@@ -33,6 +33,8 @@ LONGEST = 5
 WORD_BITS, PHRASE_BITS = 24, 26
 #: Bytes of text that a task works on at a time, and hashes it sums up before they go on.
 SLICE, WAITING = 4 << 20, 4 << 20
+#: Phrases that a task sums up before they go on.
+HELD = 400_000
 #: Phrase occurrences a hash partition should have.
 MASS = 4_000_000
 #: Lists of the best per language are first cut down in this many parts.
@@ -243,15 +245,28 @@ def _survivors(docs: DataFrame, heavy: np.ndarray, threshold: int, total: int, l
     return dealt.groupBy("part").applyInPandas(sum_up, "place long")
 
 
-def _exact(docs: DataFrame, heavy: np.ndarray, alive: np.ndarray, longest: int) -> DataFrame:
-    """(lang, phrase, size, f): counts by text of the words and phrases that pass the filters."""
+def _exact(docs: DataFrame, heavy: np.ndarray, alive: np.ndarray, threshold: int, total: int, longest: int) -> DataFrame:
+    """(lang, phrase, size, f): counts by text of the words and phrases that pass the filters.
+
+    A task sums up what it reads and sends it to hash partitions as lists; a partition has the
+    distinct phrases of its hashes once per task that met them.
+    """
+    partition_bits = (max(1, (longest - 1) * total) // MASS).bit_length()
 
     def texts_of(words: Words, at: np.ndarray, n: int) -> list[str]:
         names = words.names
         parts = [names.take(pa.array(words.ids[at + k])).to_pylist() for k in range(n)]
         return [b" ".join(p).decode() for p in zip(*parts, strict=True)]
 
+    def send(held: dict[tuple[int, str, str], int]) -> pa.RecordBatch:
+        rows = pd.DataFrame([*held], columns=["part", "lang", "phrase"]).assign(f=[*held.values()]).sort_values("part")
+        used, first = np.unique(rows["part"].to_numpy(), return_index=True)
+        offsets = pa.array(np.append(first, len(rows)).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(rows[c], t)) for c, t in (("lang", pa.string()), ("phrase", pa.string()), ("f", pa.int64()))]
+        return pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), *lists], ["part", "lang", "phrase", "f"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[int, str, str], int] = {}
         for lang, texts in _slices(batches):
             words = words_of(texts, lang)
             for n in range(1, longest + 1):
@@ -260,22 +275,32 @@ def _exact(docs: DataFrame, heavy: np.ndarray, alive: np.ndarray, longest: int)
                     kept = passing(alive, PHRASE_BITS, hashes)
                     at, hashes = at[kept], hashes[kept]
                 while len(at):
-                    _, first, where, times = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
+                    every, first, where, times = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
                     # Phrases of equal hash are told apart by their words.
                     other = np.zeros(len(at), dtype=bool)
                     for k in range(n):
                         other |= words.ids[at + k] != words.ids[at[first][where] + k]
                     if other.any():
                         times = np.bincount(where[~other], minlength=len(first))
-                    phrases = texts_of(words, at[first], n)
-                    size = len(phrases)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * size, pa.string()), pa.array(phrases, pa.string()), pa.array([n] * size, pa.int32()), pa.array(times, pa.int64())],
-                        ["lang", "phrase", "size", "f"],
-                    )
+                    parts = every >> np.uint64(64 - partition_bits) if partition_bits else np.zeros(len(every), np.int64)
+                    for part, phrase, f in zip(parts.tolist(), texts_of(words, at[first], n), times.tolist(), strict=True):
+                        key = (part, lang, phrase)
+                        held[key] = held.get(key, 0) + f
                     at, hashes = at[other], hashes[other]
+            if len(held) > HELD:
+                yield send(held)
+                held = {}
+        if held:
+            yield send(held)
+
+    def sum_up(group: pd.DataFrame) -> pd.DataFrame:
+        rows = pd.DataFrame({c: np.concatenate(group[c].tolist()) for c in ("lang", "phrase", "f")})
+        sums = rows.groupby(["lang", "phrase"], as_index=False)["f"].sum()
+        sums = sums[sums["f"] >= threshold]
+        return sums.assign(size=sums["phrase"].str.count(" ") + 1)[["lang", "phrase", "size", "f"]]
 
-    return docs.mapInArrow(count, "lang string, phrase string, size int, f long").groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"))
+    dealt = docs.mapInArrow(count, "part long, lang array<string>, phrase array<string>, f array<long>")
+    return dealt.groupBy("part").applyInPandas(sum_up, "lang string, phrase string, size int, f long")
 
 
 def frequent(docs: DataFrame, threshold: int = 100, longest: int = LONGEST, lang: str = "lang", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -290,8 +315,7 @@ def frequent(docs: DataFrame, threshold: int = 100, longest: int = LONGEST, lang
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     heavy = _filter(buckets.where(F.col("lang").isNull() & (F.col("n") >= threshold)).select(F.col("bucket").alias("place")), WORD_BITS)
     alive = _filter(_survivors(rows, heavy, threshold, total, longest), PHRASE_BITS)
-    counts = _exact(rows, heavy, alive, longest).where(F.col("f") >= threshold)
-    return through_table(counts, "phrases"), words
+    return through_table(_exact(rows, heavy, alive, threshold, total, longest), "phrases"), words
 
 
 def _cut(parts: Column, k: Column, size: Column) -> tuple[Column, Column]:

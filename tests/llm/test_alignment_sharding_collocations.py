@@ -91,7 +91,7 @@ def test_sharding(spark, tmp_path):
 
 
 tokenizers = pytest.importorskip("public_tokenizers")
-PARTS = ["a", "b", "the", " ", "  ", "\n", "\t", "é", "日", "😀", "　", "\xa0", "\x1c", ".", "12", "<|endoftext|>", "<s>", "▁", "é", "\r\n", "{\r", "\x00", "ß", "'s", "ﬁ", "बड़", "<0x0A>"]
+PARTS = [", ", ".", "e,", "é? ", "a", "b", "the", " ", "  ", "\n", "\t", "é", "日", "😀", "　", "\xa0", "\x1c", ".", "12", "<|endoftext|>", "<s>", "▁", "é", "\r\n", "{\r", "\x00", "ß", "'s", "ﬁ", "बड़", "<0x0A>"]
 
 
 @pytest.fixture(scope="module")
@@ -250,7 +250,7 @@ def test_collocations(spark, threshold, covered, top):
 
 def test_collocations_with_small_filters(spark, monkeypatch):
     """Filters that let almost everything through, many partitions, small slices: the same result."""
-    for name, value in {"WORD_BITS": 6, "PHRASE_BITS": 7, "MASS": 100, "SLICE": 500, "WAITING": 50}.items():
+    for name, value in {"WORD_BITS": 6, "PHRASE_BITS": 7, "MASS": 100, "SLICE": 500, "WAITING": 50, "HELD": 20}.items():
         monkeypatch.setattr(collocations, name, value)
     rows = phrase_rows()
     got = collocations.mine(frame(spark, rows), threshold=8)
