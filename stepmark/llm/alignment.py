@@ -35,12 +35,12 @@ MARKS = ",.;:!?"
 PIECE = re.compile(rf"(?<=\S)(?= )|(?<=[0-9A-Za-zÀ-ÖØ-öø-ɏ])(?=[{MARKS}](?: |\Z))")
 JOINING = re.compile(rf"[^▁]▁|[0-9A-Za-zÀ-ÖØ-öø-ɏ][{MARKS}]")
 #: Pieces, and their characters, that a worker keeps, twice: those used lately and those before.
-MOST_CACHED, MOST_CHARS = 150_000, 8_000_000
+MOST_CACHED, MOST_CHARS = 120_000, 8_000_000
 #: Texts that are aligned together, and rows of a task's counts that are kept before they go on.
 TEXTS, WAITING = 64, 1_000_000
 #: Pieces that are encoded as one text.
 JOINED = 512
-ALIGNED = "doc_id long, n_a long, n_b long, groups_sha256 string, links array<int>"
+ALIGNED = "doc_id long, n_a long, n_b long, groups_sha256 string, links binary"
 
 
 def byte_letters() -> dict[str, int]:
@@ -339,7 +339,7 @@ def most_pairs(aligned: Aligner) -> int:
 def align_texts(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_a, n_b, groups_sha256 and its links, written and read back.
 
-    Each link is a * (size of B's vocabulary) + b. NULL and empty texts, and texts that a tokenizer
+    Each link is a * (size of B's vocabulary) + b, 32 bits, low byte first, one after the other. NULL and empty texts, and texts that a tokenizer
     changes (its tokens do not spell the text), have no tokens and an empty `groups_sha256`; ids may be
     NULL or repeat; an empty table gives no rows; other columns play no part.
     """
@@ -353,10 +353,9 @@ def align_texts(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id
                 part = batch.slice(at, TEXTS)
                 rows = list(align(part["text"].to_pylist()))
                 sums = [hashlib.sha256(r.groups.encode()).hexdigest() if r.n_a else "" for r in rows]
-                offsets = np.cumsum([0, *(len(r.links) for r in rows)]).astype(np.int32)
-                links = pa.array(np.concatenate([r.links for r in rows]).astype(np.int32))
+                links = pa.array([r.links.astype("<i4").tobytes() for r in rows], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"], pa.array([r.n_a for r in rows], pa.int64()), pa.array([r.n_b for r in rows], pa.int64()), pa.array(sums, pa.string()), pa.ListArray.from_arrays(pa.array(offsets), links)],
+                    [part["doc_id"], pa.array([r.n_a for r in rows], pa.int64()), pa.array([r.n_b for r in rows], pa.int64()), pa.array(sums, pa.string()), links],
                     ["doc_id", "n_a", "n_b", "groups_sha256", "links"],
                 )
         aligner(path_a, path_b).clear()  # the worker lives on
@@ -365,6 +364,12 @@ def align_texts(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id
     return through_table(rows.mapInArrow(work, ALIGNED), "aligned")
 
 
+def _links(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """All links of a batch, and where those of each document begin and end."""
+    lists = batch["links"].to_pylist()
+    return np.frombuffer(b"".join(lists), "<i4"), np.cumsum([0, *(len(x) // 4 for x in lists)])
+
+
 def _vocabulary_product(path_a: str, path_b: str) -> int:
     both = aligner(path_a, path_b)
     return len(both.bytes_a) * both.n_b
@@ -381,7 +386,7 @@ def link_counts(aligned: DataFrame, n_b: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(links, pa.int32()), pa.array(n, pa.int64())], ["link", "n"])
 
         for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
-            new, times = np.unique(batch["links"].flatten().to_numpy(zero_copy_only=False), return_counts=True)
+            new, times = np.unique(_links(batch)[0], return_counts=True)
             every, where = np.unique(np.concatenate([links, new]), return_inverse=True)
             n = np.bincount(where, weights=np.concatenate([n, times]), minlength=len(every)).astype(np.int64)
             links = every
@@ -413,9 +418,8 @@ def align(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id", tex
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
-            lists = batch["links"]
-            at = np.searchsorted(known, lists.flatten().to_numpy(zero_copy_only=False))
-            offsets = np.cumsum(np.append(0, lists.value_lengths().to_numpy(zero_copy_only=False)))
+            links, offsets = _links(batch)
+            at = np.searchsorted(known, links)
             n_links = pa.array(np.diff(offsets), pa.int64())
             sums = [np.diff(np.append(0, np.cumsum(x[at], dtype=np.int64))[offsets]) for x in (best, n)]
             yield pa.RecordBatch.from_arrays(
