@@ -13,7 +13,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from stepmark.llm import alignment, collocations, queries, sharding
+from stepmark.llm import alignment, collocations, pieces, queries, sharding
 
 SCHEMA = "doc_id long, text string, lang string, size long, digest string, part int, shard string, links array<int>, phrase string"
 EXTRA = (1, "d", 2, "s", [1], "p")
@@ -96,7 +96,7 @@ PARTS = [", ", ".", "e,", "é? ", "a", "b", "the", " ", "  ", "\n", "\t", "é",
 
 @pytest.fixture(scope="module")
 def both():
-    return alignment.Aligner(*alignment.default_tokenizers())
+    return pieces.Aligner(*alignment.default_tokenizers())
 
 
 def plain(both, text):
@@ -132,8 +132,8 @@ def test_alignment_of_pieces_is_that_of_whole_texts(both, monkeypatch):
     texts += ["".join(chr(rng.randint(*rng.choice(ranges))) for _ in range(rng.randint(1, 15))) for _ in range(1500)]
     texts += [None, "", " ", "   ", "x" * 50_000, "日" * 3000]
     same_as_plain(both, texts)
-    monkeypatch.setattr(alignment, "MOST_CACHED", 3)
-    monkeypatch.setattr(alignment, "JOINED", 2)
+    monkeypatch.setattr(pieces, "MOST_CACHED", 3)
+    monkeypatch.setattr(pieces, "JOINED", 2)
     for at in range(0, 60, 7):
         same_as_plain(both, texts[at : at + 7])
 
@@ -152,9 +152,9 @@ def test_ends_of_tokens_that_share_a_character(both):
     assert got.n_a == len(encoded.ids) and sum(len(g.split("|")[0].split(",")) for g in got.groups.split(";")) == got.n_a
     # spans: a sure token, two that share a character of three bytes, a sure one
     n = lambda *x: np.array(x, dtype=np.int64)
-    assert alignment.ends(n(1, 4, 4, 5), n(1, 2, 1, 1), n(1, 0, 0, 0).astype(bool), n(0, 0, 0, 0)).tolist() == [1, 3, 4, 5]
+    assert pieces.ends(n(1, 4, 4, 5), n(1, 2, 1, 1), n(1, 0, 0, 0).astype(bool), n(0, 0, 0, 0)).tolist() == [1, 3, 4, 5]
     # a text that begins at 7 with an unsure token is not refined from the text before
-    assert alignment.ends(n(5, 10, 10), n(1, 1, 2), n(1, 1, 0).astype(bool), n(4, 7, 7)).tolist() == [5, 8, 10]
+    assert pieces.ends(n(5, 10, 10), n(1, 1, 2), n(1, 1, 0).astype(bool), n(4, 7, 7)).tolist() == [5, 8, 10]
 
 
 def test_alignment(spark, both):
