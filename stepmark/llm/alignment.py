@@ -29,8 +29,9 @@ from stepmark.llm.pieces import Aligner, aligner
 
 #: Texts that are aligned together, and rows of a task's counts that are kept before they go on.
 TEXTS, WAITING = 64, 1_000_000
-#: Rows of an Arrow batch of texts.
-ROWS = 1024
+#: Rows of a batch of texts, and the settings that say so.
+ROWS = 256
+BATCH_ROWS = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
 ALIGNED = "doc_id long, n_a long, n_b long, groups_sha256 string, links binary"
 
 
@@ -77,15 +78,17 @@ def align_texts(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id
 
 @contextmanager
 def _small_batches(spark: SparkSession) -> Iterator[None]:
-    """Fewer rows per Arrow batch while texts are read: a batch of whole texts is megabytes, twice
-    (in the JVM and in the worker), beside two tokenizers and the pieces that a worker keeps."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    usual = spark.conf.get(name)
-    spark.conf.set(name, str(min(int(usual), ROWS) if int(usual) > 0 else ROWS))
+    """Fewer rows per batch while whole texts are read: beside two tokenizers and the pieces that a
+    worker keeps, batches of the default number of rows are tens of megabytes in one array, in the
+    reader, on the way to the worker and in the worker."""
+    usual = {name: spark.conf.get(name) for name in BATCH_ROWS}
     try:
+        for name in BATCH_ROWS:
+            spark.conf.set(name, str(ROWS))
         yield
     finally:
-        spark.conf.set(name, usual)
+        for name, value in usual.items():
+            spark.conf.set(name, value)
 
 
 def _links(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
