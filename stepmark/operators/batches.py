@@ -160,14 +160,28 @@ def pad_to_longest(
 
 
 def batch_collate(
-    df: DataFrame, batch: str = "micro_batch", position: str = "position", ids: str = "ids", labels: str = "labels"
+    df: DataFrame,
+    batch: str = "micro_batch",
+    position: str = "position",
+    ids: str = "ids",
+    labels: str = "labels",
+    key: str | None = None,
+    images: str | None = None,
 ) -> DataFrame:
     """One row per batch: input_ids and labels as lists of rows, in position order.
 
+    With `key` there is the list `keys` too, with `images` (an array of references) the list of
+    each row's references. References travel with the ids; the bytes behind them are read
+    after batching, see `attach_media`. A row without images has an empty list, NULL or not.
+
     A batch has as many rows as the batch plan says, so the group is bounded. After
     `pad_to_longest` the rows already lie together and are not shuffled again.
     """
-    rows = F.sort_array(F.collect_list(F.struct(position, F.col(ids).alias("ids"), F.col(labels).alias("labels"))))
-    return df.groupBy(batch).agg(rows.alias("rows")).select(
-        batch, F.col("rows.ids").alias("input_ids"), F.col("rows.labels").alias("labels")
-    )
+    fields = [F.col(position).alias("position"), F.col(ids).alias("input_ids"), F.col(labels).alias("labels")]
+    if key is not None:
+        fields.append(F.col(key).alias("keys"))
+    if images is not None:
+        fields.append(F.coalesce(F.col(images), F.array().cast("array<string>")).alias("images"))
+    names = [*(["keys"] if key is not None else []), "input_ids", "labels", *(["images"] if images is not None else [])]
+    rows = F.sort_array(F.collect_list(F.struct(*fields)))  # by position, which no two rows share
+    return df.groupBy(batch).agg(rows.alias("rows")).select(batch, *[F.col(f"rows.{n}").alias(n) for n in names])

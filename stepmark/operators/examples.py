@@ -11,15 +11,15 @@ ROWS_PER_BLOCK = 100_000
 def example_key(df: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """Add `row_hash` and `ordinal`, which together identify a row even among equal rows.
 
-    Equal rows are counted first (partial counts per task), so a row that makes up a third of
+    Rows are grouped by two hashes of their JSON form, not by their nested columns; one of equal
+    rows is kept with their number (partial counts per task), so a row that makes up a third of
     the table reaches the shuffle as a few counts, not as its copies. The copies are put back
     from the count: up to `rows_per_block` in place, more in blocks spread over all tasks.
     """
     columns = df.columns
-    counted = df.groupBy(*columns).agg(F.count("*").alias("_copies"))
-    hashed = counted.withColumn(
-        "row_hash", F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
-    )
+    text = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    rows = df.select(F.md5(text).alias("row_hash"), F.xxhash64(text).alias("_other"), F.struct(*columns).alias("_row"))
+    hashed = rows.groupBy("row_hash", "_other").agg(F.count("*").alias("_copies"), F.any_value("_row").alias("_row"))
     few = hashed.where(F.col("_copies") <= rows_per_block).withColumn("_first", F.lit(0).cast("bigint"))
     many = (
         hashed.where(F.col("_copies") > rows_per_block)
@@ -33,7 +33,7 @@ def example_key(df: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) -> DataFram
     return (
         few.unionByName(many)
         .withColumn("ordinal", F.explode(F.sequence(F.col("_first"), last)))
-        .select("row_hash", "ordinal", *columns)
+        .select("row_hash", "ordinal", "_row.*")
     )
 
 

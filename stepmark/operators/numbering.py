@@ -5,10 +5,12 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from stepmark.session import through_table
+
 
 def number_by_blocks(
     df: DataFrame,
@@ -43,3 +45,25 @@ def number_by_blocks(
         .withColumn(name, F.col("_start") + F.col("_inside") - 1)
         .drop("_inside", "_start", *[f"_of_{c}" for c in cells])
     )
+
+
+def number_by_ranges(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Row number from 0 over the whole of `df` in `order`, as column `name`, for an order that has
+    no natural block.
+
+    Rows are dealt out by ranges of the order and written with the number of their range, so that
+    a task that runs again cannot draw the ranges anew. Each range is numbered by itself and moved
+    up by the rows before it; only one count per range meets in one task. Rows that tie are
+    numbered in any order, so give one that has no ties.
+    """
+    dealt = through_table(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+    earlier = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    counts = dealt.groupBy("_range").agg(F.count("*").alias("_rows"))
+    starts = counts.select("_range", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
+    inside = F.row_number().over(W.partitionBy("_range").orderBy(*order)) - 1
+    return (
+        dealt.withColumn("_inside", inside)
+        .join(starts, "_range")
+        .withColumn(name, F.col("_start") + F.col("_inside"))
+        .drop("_range", "_inside", "_start")
+    )

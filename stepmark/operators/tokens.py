@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stepmark.operators.joins import salted_left_join
+from stepmark.operators.numbering import number_by_ranges
 from stepmark.session import through_table
 
 UNKNOWN_ID = -1
@@ -22,17 +23,29 @@ MAX_BROADCAST_TOKENS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+def token_counts(tokens: DataFrame) -> DataFrame:
+    """(token, n) of the array column `tokens`; counting combines per task before the shuffle."""
+    # Outer, with the empty rows filtered after: a plain explode adds a filter on the size of the
+    # array, and with it computes the tokens a second time.
+    exploded = tokens.select(F.explode_outer("tokens").alias("token")).where(F.col("token").isNotNull())
+    return exploded.groupBy("token").agg(F.count("*").alias("n"))
+
+
+def full_vocab(tokens: DataFrame) -> DataFrame:
+    """All tokens of the array column `tokens`, most frequent first, ties by token; ids from 0.
+
+    The ids are those of `build_vocab` without a limit, numbered by ranges and not in one task.
+    """
+    numbered = number_by_ranges(token_counts(tokens), [F.desc("n"), F.asc("token")], "token_id")
+    return numbered.select("token", F.col("token_id").cast("int").alias("token_id"))
+
+
 def build_vocab(tokens: DataFrame, size: int) -> DataFrame:
     """The `size` most frequent tokens of the array column `tokens`, ties by token; ids from 0.
 
-    Counting combines per task before the shuffle, so frequent tokens cost no more than others;
-    numbering runs over the `size` rows of the result only.
+    A top-n; numbering runs over the `size` rows of the result only.
     """
-    # Outer, with the empty rows filtered after: a plain explode adds a filter on the size of the
-    # array, and with it computes the tokens a second time.
-    exploded = tokens.select(F.explode_outer("tokens").alias("token")).where(F.col("token").isNotNull())
-    counts = exploded.groupBy("token").agg(F.count("*").alias("n"))
-    top = counts.orderBy(F.desc("n"), "token").limit(size)
+    top = token_counts(tokens).orderBy(F.desc("n"), "token").limit(size)
     token_id = F.row_number().over(W.orderBy(F.desc("n"), "token")) - 1
     return top.select("token", token_id.cast("int").alias("token_id"))
 
@@ -48,11 +61,14 @@ def special_token_union(existing: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def extend_vocab(vocab: DataFrame, new: DataFrame) -> DataFrame:
-    """`vocab` plus the tokens of `new` (token, position) it lacks, with the next free ids."""
+    """`vocab` plus the tokens of `new` (token, position) it lacks, with the next free ids.
+
+    New tokens are numbered by position, then token; there may be any number of them.
+    """
     added = new.groupBy("token").agg(F.min("position").alias("position")).join(vocab, "token", "left_anti")
     top_id = vocab.agg(F.coalesce(F.max("token_id"), F.lit(-1)).alias("top")).scalar()
-    numbered = added.select(
-        "token", (F.row_number().over(W.orderBy("position", "token")) + top_id).cast("int").alias("token_id")
+    numbered = number_by_ranges(added, [F.asc("position"), F.asc("token")], "place").select(
+        "token", (F.col("place") + top_id + 1).cast("int").alias("token_id")
     )
     return vocab.select("token", "token_id").unionByName(numbered)
 

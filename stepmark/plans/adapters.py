@@ -26,13 +26,14 @@ from stepmark.operators.messages import (
     render_chat,
 )
 from stepmark.operators.metrics import log_steps
-from stepmark.operators.tokens import build_vocab, token_ids, vocab_lookup
+from stepmark.operators.tokens import full_vocab, token_ids, vocab_lookup
 from stepmark.schemas import MESSAGE
 from stepmark.session import shared_path, spread, through_table
+from stepmark.sources.files import open_storage
 
 REMOTE = "s3://bucket/base/"
 BASE = "/data/images"
-VOCAB_SIZE = 3000
+VOCAB_SIZE = 3000  # of the query `build_vocab`, a top-n; all other queries take the whole vocabulary
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -105,8 +106,13 @@ def tokenized(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def corpus_vocab(tokens: DataFrame) -> DataFrame:
-    """The most frequent tokens of the rendered examples, written once and read from there."""
-    return through_table(build_vocab(tokens, VOCAB_SIZE), "vocab")
+    """All tokens of the rendered examples, written once and read from there."""
+    return through_table(full_vocab(tokens), "vocab")
+
+
+def pad_id_of(vocab: DataFrame) -> int:
+    """The id after the last one of the vocabulary."""
+    return vocab.agg(F.coalesce(F.max("token_id"), F.lit(-1)) + 1).first()[0]
 
 
 def encoded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -202,8 +208,57 @@ def image_files(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     return folder, drawn
 
 
+def _pam(pixels: np.ndarray) -> bytes:
+    """A PAM file of a (height, width, channels) byte array with 1, 3 or 4 channels."""
+    height, width, channels = pixels.shape
+    kind = {1: "GRAYSCALE", 3: "RGB", 4: "RGB_ALPHA"}[channels]
+    head = f"P7\nWIDTH {width}\nHEIGHT {height}\nDEPTH {channels}\nMAXVAL 255\nTUPLTYPE {kind}\nENDHDR\n"
+    return head.encode() + pixels.tobytes()
+
+
+def picture_files(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """PAM files drawn from the embeddings, one per vector, and their folder and (vec_id, path).
+
+    Channel c of pixel i is element (i + c) mod 64, scaled to a byte. One in 25 is a line of 256
+    pixels, one in 50 has lost its pixels.
+    """
+    folder = shared_path(spark, "pam")
+    storage, root = open_storage(folder)
+    vectors = spread(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "vec_id")
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths = []
+            for row in batch.to_pylist():
+                i = row["vec_id"]
+                levels = np.floor(np.array(row["embedding"], np.float64) * 1000).astype(np.int64) % 256
+                height, width = (1, 256) if i % 25 == 3 else (8, 8) if i % 2 == 0 else (4, 16)
+                at = np.arange(height * width)[:, None] + np.arange((1, 3, 4)[i % 3])
+                data = _pam(levels[at % 64].astype(np.uint8).reshape(height, width, -1))
+                storage.create_dir(f"{root}/{i % 10}")
+                paths.append(f"{root}/{i % 10}/{i}.pam")
+                with storage.open_output_stream(paths[-1]) as out:
+                    out.write(data[: data.index(b"ENDHDR")] if i % 50 == 7 else data)
+            yield pa.RecordBatch.from_arrays([batch["vec_id"], pa.array(paths, pa.string())], ["vec_id", "path"])
+
+    return root, through_table(vectors.mapInArrow(draw, "vec_id bigint, path string"), "pam-list")
+
+
+def picture_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, images, messages) with references to the pictures, some of which do not exist."""
+    doc = F.col("doc_id")
+
+    def ref(k: Column) -> Column:
+        number = (doc * 7 + k * 13) % 1100
+        name = F.concat((number % 10).cast("string"), F.lit("/"), F.when(doc % 10 == 9, "gone").otherwise(""), number.cast("string"))
+        return F.concat(F.lit(REMOTE), name, F.lit(".pam"))
+
+    numbers = F.slice(F.array(*[F.lit(k).cast("bigint") for k in range(3)]), F.lit(1), (doc % 4).cast("int"))
+    return examples(spark, sf_dir).withColumn("images", F.transform(numbers, ref))
+
+
 def vec_id_of(path: Column) -> Column:
-    return F.regexp_extract(path, r"([0-9]+)[^/]*\.png$", 1).cast("bigint")
+    return F.regexp_extract(path, r"([0-9]+)[^/]*\.(?:png|pam)$", 1).cast("bigint")
 
 
 def example_lines(spark: SparkSession, sf_dir: str) -> str:

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from stepmark.functions import labels as L
 from stepmark.functions.numbers import cosine_similarity
 from stepmark.operators import batches as B
 from stepmark.operators import metrics as G
 from stepmark.plans import adapters as A
 from stepmark.plans import sql
 from stepmark.plans.catalog import query
-from stepmark.plans.token_queries import joined, labelled
+from stepmark.plans.token_queries import joined
 
-PAD_ID = A.VOCAB_SIZE  # the id after the last one of the vocabulary
 _BATCH = """
   idx // 2 AS micro_batch, idx // 512 AS step, ((idx // 16) % 32)::INTEGER AS slot,
   ((idx // 2) % 8)::INTEGER AS device, (idx % 2)::INTEGER AS position"""
@@ -100,53 +100,62 @@ def split_train_test(spark, sf_dir):
 
 
 def batched(spark, sf_dir):
-    """Labelled examples with their batch."""
-    df = labelled(spark, sf_dir)[0]
-    return B.assign_batch(B.global_index(df, "doc_id"))
+    """(doc_id, ids) with their batch, the padding id, and the ids of the marks."""
+    df, vocab = A.encoded(spark, sf_dir)
+    return B.assign_batch(B.global_index(df, "doc_id")), A.pad_id_of(vocab), list(A.mark_ids(vocab))
 
 
-_PADDED = f"""
-sizes AS (SELECT doc_id, count(*) AS n FROM lab GROUP BY doc_id),
+def padded_sql(labels: str) -> str:
+    """CTEs that end in padded(doc_id, idx, ids, labels) from a table of ids and labels."""
+    return f"""
+sizes AS (SELECT doc_id, count(*) AS n FROM {labels} GROUP BY doc_id),
 longest AS (
   SELECT doc_id, idx, n, max(n) OVER (PARTITION BY idx // 2) AS m FROM ordered JOIN sizes USING (doc_id)
 ),
 padded AS (
   SELECT doc_id, idx,
-         string_agg(id, ',' ORDER BY pos) || repeat(',{PAD_ID}', (m - n)::INTEGER) AS ids,
+         string_agg(id, ',' ORDER BY pos) || repeat(',' || {sql.PAD_ID}, (m - n)::INTEGER) AS ids,
          string_agg(label, ',' ORDER BY pos) || repeat(',-100', (m - n)::INTEGER) AS labels
-  FROM lab JOIN longest USING (doc_id) GROUP BY doc_id, idx, m, n
+  FROM {labels} JOIN longest USING (doc_id) GROUP BY doc_id, idx, m, n
 )"""
 
 
+def flat_rows(column: str):
+    """A list of lists as text."""
+    return F.array_join(F.transform(column, lambda r: F.array_join(r.cast("array<string>"), ",")), ";")
+
+
 @query(
     "pad_to_longest",
-    f"""WITH {sql.ENCODED}, {sql.ORDERED}, {_PADDED}
+    f"""WITH {sql.ENCODED}, {sql.ORDERED}, {padded_sql("lab")}
 SELECT doc_id, idx // 2 AS micro_batch, ids, labels FROM padded""",
 )
 def pad_to_longest(spark, sf_dir):
-    return B.pad_to_longest(batched(spark, sf_dir), PAD_ID, labels="labels").select(
-        "doc_id", "micro_batch", joined("ids").alias("ids"), joined("labels").alias("labels")
-    )
+    """Labels are made from the padded ids, so ids alone are shuffled."""
+    df, pad_id, marks = batched(spark, sf_dir)
+    padded = B.pad_to_longest(df, pad_id).withColumn("labels", L.mask_keep(F.col("ids"), marks))
+    return padded.select("doc_id", "micro_batch", joined("ids").alias("ids"), joined("labels").alias("labels"))
 
 
 @query(
     "batch_collate",
-    f"""WITH {sql.ENCODED}, {sql.ORDERED}, {_PADDED}
-SELECT idx // 2 AS micro_batch, count(*)::INTEGER AS n_rows, string_agg(ids, ';' ORDER BY idx) AS input_ids,
-       string_agg(labels, ';' ORDER BY idx) AS labels
-FROM padded GROUP BY idx // 2""",
+    f"""WITH {sql.ENCODED}, {sql.ORDERED}, {sql.IMAGES}, {padded_sql("lab")},
+pictures AS (
+  SELECT doc_id, coalesce(string_agg(uri, ',' ORDER BY n), '') AS images FROM documents LEFT JOIN imgs USING (doc_id) GROUP BY doc_id
+)
+SELECT idx // 2 AS micro_batch, string_agg(doc_id, ',' ORDER BY idx) AS keys, string_agg(ids, ';' ORDER BY idx) AS input_ids,
+       string_agg(labels, ';' ORDER BY idx) AS labels, string_agg(images, ';' ORDER BY idx) AS images
+FROM padded JOIN pictures USING (doc_id) GROUP BY idx // 2""",
 )
 def batch_collate(spark, sf_dir):
-    collated = B.batch_collate(B.pad_to_longest(batched(spark, sf_dir), PAD_ID, labels="labels"))
-
-    def flat(column: str):
-        return F.array_join(F.transform(column, lambda r: F.array_join(r.cast("array<string>"), ",")), ";")
-
+    df, pad_id, marks = batched(spark, sf_dir)
+    padded = B.pad_to_longest(df, pad_id).withColumn("labels", L.mask_keep(F.col("ids"), marks))
+    pictures = padded.withColumn("images", A.image_uris(F.col("doc_id")))
+    collated = B.batch_collate(pictures, key="doc_id", images="images")
     return collated.select(
         "micro_batch",
-        F.size("input_ids").alias("n_rows"),
-        flat("input_ids").alias("input_ids"),
-        flat("labels").alias("labels"),
+        F.array_join(F.col("keys").cast("array<string>"), ",").alias("keys"),
+        *[flat_rows(c).alias(c) for c in ("input_ids", "labels", "images")],
     )
 
 

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stepmark.functions import refs as R
 from stepmark.functions.sizes import aspect_ratio_reject
 from stepmark.operators import examples as X
+from stepmark.operators import hooks as H
 from stepmark.operators import images as I
 from stepmark.operators.rejects import reference_reason, reject_table, rejects
 from stepmark.plans import adapters as A
 from stepmark.plans import sql
 from stepmark.plans.catalog import query
-from stepmark.sources import scan_image_files, scan_images
+from stepmark.plans.message_queries import messages_hash
+from stepmark.sources import list_files, read_files, scan_image_files, scan_images
 
 _REFS = """
 refs AS (
@@ -65,11 +68,12 @@ def strip_file_scheme(spark, sf_dir):
 
 @query(
     "decode_data_uri",
-    "SELECT page_id, md5(html) AS content, strlen(html)::INTEGER AS length FROM pages WHERE page_id % 5 = 1",
+    """SELECT page_id, CASE WHEN page_id % 5 = 1 THEN md5(html) END AS content,
+       CASE WHEN page_id % 5 = 1 THEN strlen(html) END::INTEGER AS length FROM pages""",
 )
 def decode_data_uri(spark, sf_dir):
     content = page_refs(spark, sf_dir).select("page_id", R.decode_data_uri(F.col("ref")).alias("bytes"))
-    return content.where("bytes IS NOT NULL").select(
+    return content.select(
         "page_id", F.md5("bytes").alias("content"), F.octet_length("bytes").alias("length")
     )
 
@@ -129,33 +133,39 @@ def missing_images(spark, sf_dir):
 
 @query(
     "keep_existing_images",
-    f"""WITH {sql.IMAGES}
-SELECT doc_id, count(l.path)::INTEGER AS n_images, coalesce(string_agg(l.path, ',' ORDER BY n), '') AS images
-FROM documents LEFT JOIN imgs USING (doc_id) LEFT JOIN listing l ON l.path = imgs.path GROUP BY doc_id""",
+    f"""WITH {sql.ITEMS}, {sql.IMAGES}, {sql.MESSAGES}
+SELECT doc_id, any_value(messages) AS messages, count(l.path)::INTEGER AS n_images,
+       coalesce(string_agg(l.path, ',' ORDER BY n), '') AS images
+FROM hashes LEFT JOIN imgs USING (doc_id) LEFT JOIN listing l ON l.path = imgs.path GROUP BY doc_id""",
 )
 def keep_existing_images(spark, sf_dir):
-    kept = I.keep_existing_images(local_images(spark, sf_dir), A.listing(spark, sf_dir), "doc_id")
-    return kept.select("doc_id", F.size("images").alias("n_images"), F.array_join("images", ",").alias("images"))
+    kept = I.keep_existing_images(A.local_examples(spark, sf_dir), A.listing(spark, sf_dir), "doc_id")
+    return kept.select(
+        "doc_id",
+        messages_hash(F.col("messages")).alias("messages"),
+        F.size("images").alias("n_images"),
+        F.array_join("images", ",").alias("images"),
+    )
 
 
 @query(
     "scan_image_files",
-    f"WITH {sql.PIXELS} SELECT vec_id, height, width, TRUE AS has_length FROM img",
+    f"""WITH {sql.PICTURES}
+SELECT vec_id, length(bytes) // 2 AS length, md5(bytes) AS content FROM picture_bytes""",
 )
-def image_file_headers(spark, sf_dir):
-    """Sides read from the bytes of each file."""
-    folder, _ = A.image_files(spark, sf_dir)
+def image_files_read(spark, sf_dir):
+    """Every byte of every file, listed and read by tasks."""
+    folder, _ = A.picture_files(spark, sf_dir)
     files = scan_image_files(spark, folder)
     return files.select(
-        A.vec_id_of(F.col("path")).alias("vec_id"),
-        _header_int(F.col("content"), 21).alias("height"),
-        _header_int(F.col("content"), 17).alias("width"),
-        (F.col("length") == F.octet_length("content")).alias("has_length"),
+        A.vec_id_of(F.col("path")).alias("vec_id"), "length", F.md5(F.hex("content")).alias("content")
     )
 
 
-def _header_int(content, start: int):
-    return F.conv(F.hex(F.substring(content, start, 4)), 16, 10).cast("int")
+@query("list_files", f"WITH {sql.PICTURES} SELECT vec_id, length(bytes) // 2 AS length FROM picture_bytes")
+def files_listed(spark, sf_dir):
+    folder, _ = A.picture_files(spark, sf_dir)
+    return list_files(spark, folder).select(A.vec_id_of(F.col("path")).alias("vec_id"), "length")
 
 
 @query(
@@ -171,17 +181,71 @@ def decoded_images(spark, sf_dir):
 
 @query(
     "attach_image_bytes",
-    f"""WITH {sql.PIXELS}
-SELECT vec_id, copy, CASE WHEN copy = 0 THEN height END AS height FROM img, (VALUES (0), (1)) c(copy)""",
+    f"""WITH {sql.PICTURES}
+SELECT vec_id, copy, CASE WHEN copy = 0 THEN md5(bytes) END AS content, copy = 1 AS is_missing
+FROM picture_bytes, (VALUES (0), (1), (0)) c(copy)""",
 )
 def attach_image_bytes(spark, sf_dir):
-    """Every image once by its path and once by a path that does not exist."""
-    folder, drawn = A.image_files(spark, sf_dir)
-    copies = F.explode(F.array(F.struct(F.lit(0).alias("copy"), F.col("path").alias("image")),
-                               F.struct(F.lit(1).alias("copy"), F.concat("path", F.lit(".gone")).alias("image"))))
-    refs = drawn.select("vec_id", copies.alias("c")).select("vec_id", "c.copy", "c.image")
-    attached = I.attach_image_bytes(refs, scan_image_files(spark, folder), ["vec_id", "copy"])
-    return attached.select("vec_id", "copy", _header_int(F.col("image.bytes"), 21).alias("height"))
+    """Every image twice by its path and once by a path that does not exist."""
+    _, drawn = A.picture_files(spark, sf_dir)
+    real = F.struct(F.lit(0).alias("copy"), F.col("path").alias("image"))
+    gone = F.struct(F.lit(1).alias("copy"), F.concat("path", F.lit(".gone")).alias("image"))
+    refs = drawn.select("vec_id", F.explode(F.array(real, gone, real)).alias("c")).select("vec_id", "c.copy", "c.image")
+    attached = I.attach_image_bytes(refs, ["vec_id", "copy"])
+    missing = F.coalesce(F.col("image_reason").startswith("not found"), F.lit(False))
+    return attached.select("vec_id", "copy", F.md5(F.hex("image.bytes")).alias("content"), missing.alias("is_missing"))
+
+
+@query(
+    "decode_images",
+    f"""WITH {sql.PICTURES},
+pixels AS (SELECT vec_id, string_agg(lpad(upper(to_hex(v)), 2, '0'), '' ORDER BY i, c) AS p FROM rgb GROUP BY vec_id)
+SELECT vec_id, CASE WHEN p IS NOT NULL THEN height END AS height, CASE WHEN p IS NOT NULL THEN width END AS width,
+       md5(p) AS pixels, CASE WHEN p IS NULL THEN 'not an image' END AS reason
+FROM pic LEFT JOIN pixels USING (vec_id)""",
+)
+def decode_images(spark, sf_dir):
+    folder, _ = A.picture_files(spark, sf_dir)
+    rgb = I.decode_images(read_files(list_files(spark, folder)))
+    return rgb.select(
+        A.vec_id_of(F.col("path")).alias("vec_id"),
+        "height",
+        "width",
+        F.md5(F.hex("data")).alias("pixels"),
+        F.substring_index("reason", ":", 1).alias("reason"),
+    )
+
+
+def quadrant_sums():
+    """A processor factory: the sums of the four quarters of an image, per channel."""
+
+    def process(pixels):
+        out = np.zeros((2, 2, 3), dtype=np.float32)
+        rows, columns = (np.arange(n) * 2 // n for n in pixels.shape[:2])
+        np.add.at(out, (rows[:, None], columns[None, :]), pixels.astype(np.float32))
+        return out
+
+    return process
+
+
+@query(
+    "image_features",
+    f"""WITH {sql.PICTURES},
+cells AS (
+  SELECT vec_id, q // 6 AS r, (q // 3) % 2 AS k, q % 3 AS c, q FROM pic, range(12) t(q) WHERE vec_id % 50 <> 7),
+sums AS (
+  SELECT vec_id, (i // width) * 2 // height AS r, (i % width) * 2 // width AS k, c, sum(v) AS s FROM rgb GROUP BY ALL)
+SELECT p.vec_id, string_agg(coalesce(s, 0)::BIGINT, ',' ORDER BY q) AS features
+FROM pic p LEFT JOIN cells x USING (vec_id) LEFT JOIN sums USING (vec_id, r, k, c) WHERE p.vec_id % 50 <> 7 GROUP BY p.vec_id
+UNION ALL SELECT vec_id, NULL FROM pic WHERE vec_id % 50 = 7""",
+)
+def image_features(spark, sf_dir):
+    """A plug-in over images: a tensor of declared shape."""
+    folder, _ = A.picture_files(spark, sf_dir)
+    rgb = I.decode_images(read_files(list_files(spark, folder)))
+    features = H.image_features(rgb, quadrant_sums, (2, 2, 3))
+    numbers = F.array_join(F.transform("features", lambda x: x.cast("bigint").cast("string")), ",")
+    return features.select(A.vec_id_of(F.col("path")).alias("vec_id"), numbers.alias("features"))
 
 
 @query(

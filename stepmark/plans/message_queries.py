@@ -24,6 +24,19 @@ def item_rows(df: DataFrame, messages: Column) -> DataFrame:
     )
 
 
+def messages_hash(messages: Column) -> Column:
+    """One hash over all items of the messages, in order; a NULL part differs from an empty one."""
+
+    def part(value: Column) -> Column:
+        return F.coalesce(F.concat(F.lit("="), value.cast("string")), F.lit("-"))
+
+    def item(message: Column, i: Column) -> Column:
+        return F.concat_ws("|", message["role"], i["type"], part(i["text"]), part(i["image"]), part(i["index"]))
+
+    items = F.flatten(F.transform(messages, lambda m: F.transform(m["content"], lambda i: item(m, i))))
+    return F.md5(F.array_join(items, "\n"))
+
+
 _USABLE_ROWS = """
 SELECT doc_id, (dense_rank() OVER (PARTITION BY doc_id ORDER BY msg) - 1)::INTEGER AS message_pos, role,
        (row_number() OVER (PARTITION BY doc_id, msg ORDER BY {order}) - 1)::INTEGER AS item_pos,
@@ -73,12 +86,13 @@ def dropped_index_report(spark, sf_dir):
 
 @query(
     "flatten_message_images",
-    f"WITH {sql.IMAGES} SELECT doc_id, uri AS images FROM imgs WHERE n = doc_id % 3",
+    f"""WITH {sql.IMAGES} SELECT d.doc_id, coalesce(uri, '') AS images
+FROM documents d LEFT JOIN imgs g ON g.doc_id = d.doc_id AND g.n = d.doc_id % 3""",
 )
 def flatten_message_images(spark, sf_dir):
     df = A.examples(spark, sf_dir)
     flat = M.flatten_message_images(M.resolve_image_index(F.col("messages"), F.col("images")))
-    return df.select("doc_id", F.array_join(flat, ",").alias("images")).where("images <> ''")
+    return df.select("doc_id", F.array_join(flat, ",").alias("images"))
 
 
 @query("render_chat", f"WITH {sql.RENDERED} SELECT doc_id, text FROM rendered")
@@ -100,64 +114,75 @@ def trimmed(spark, sf_dir):
 
 @query(
     "rewrite_prefix",
-    f"WITH {sql.IMAGES} SELECT doc_id, string_agg(path, ',' ORDER BY n) AS images FROM imgs GROUP BY doc_id",
+    f"""WITH {sql.IMAGES} SELECT doc_id, coalesce(string_agg(path, ',' ORDER BY n), '') AS images
+FROM documents LEFT JOIN imgs USING (doc_id) GROUP BY doc_id""",
 )
 def rewrite_prefix(spark, sf_dir):
     df = A.image_examples(spark, sf_dir)
     local = A.rewrite_prefix(F.col("images"), A.REMOTE, A.BASE)
-    return df.select("doc_id", F.array_join(local, ",").alias("images")).where("images <> ''")
+    return df.select("doc_id", F.array_join(local, ",").alias("images"))
+
 
+_WITH_MESSAGES = f"WITH {sql.ITEMS}, {sql.IMAGES}, {sql.MESSAGES}"
 
-@query("explode_images", f"WITH {sql.IMAGES} SELECT doc_id, uri AS image FROM imgs")
+
+def hashed(df: DataFrame) -> DataFrame:
+    """Messages as one hash over all of them."""
+    return df.withColumn("messages", messages_hash(F.col("messages")))
+
+
+@query(
+    "explode_images",
+    f"{_WITH_MESSAGES} SELECT doc_id, messages, uri AS image FROM imgs JOIN hashes USING (doc_id)",
+)
 def explode_images(spark, sf_dir):
-    return X.explode_images(A.image_examples(spark, sf_dir))
+    return hashed(X.explode_images(A.examples(spark, sf_dir)))
 
 
 @query(
     "last_image",
-    f"""WITH {sql.IMAGES} SELECT d.doc_id, uri AS image
-FROM documents d LEFT JOIN imgs g ON g.doc_id = d.doc_id AND g.n = d.doc_id % 4 - 1""",
+    f"""{_WITH_MESSAGES} SELECT d.doc_id, messages, uri AS image
+FROM hashes d LEFT JOIN imgs g ON g.doc_id = d.doc_id AND g.n = d.doc_id % 4 - 1""",
 )
 def last_image(spark, sf_dir):
-    return X.last_image(A.image_examples(spark, sf_dir))
+    return hashed(X.last_image(A.examples(spark, sf_dir)))
 
 
 @query(
     "first_image",
-    f"""WITH {sql.IMAGES} SELECT d.doc_id, uri AS image
-FROM documents d LEFT JOIN imgs g ON g.doc_id = d.doc_id AND g.n = 0""",
+    f"""{_WITH_MESSAGES} SELECT d.doc_id, messages, uri AS image
+FROM hashes d LEFT JOIN imgs g ON g.doc_id = d.doc_id AND g.n = 0""",
 )
 def first_image(spark, sf_dir):
-    return X.first_image(A.image_examples(spark, sf_dir))
+    return hashed(X.first_image(A.examples(spark, sf_dir)))
 
 
 @query(
     "wrap_image",
-    f"""WITH {sql.IMAGES} SELECT d.doc_id, 1 AS n_images, coalesce(uri, '') AS images
-FROM documents d LEFT JOIN imgs g ON g.doc_id = d.doc_id AND g.n = 0""",
+    f"""{_WITH_MESSAGES} SELECT d.doc_id, messages, 1 AS n_images, coalesce(uri, '') AS images
+FROM hashes d LEFT JOIN imgs g ON g.doc_id = d.doc_id AND g.n = 0""",
 )
 def wrap_image(spark, sf_dir):
-    wrapped = X.wrap_image(X.first_image(A.image_examples(spark, sf_dir)))
-    return wrapped.select("doc_id", F.size("images").alias("n_images"), F.array_join("images", ",").alias("images"))
+    wrapped = hashed(X.wrap_image(X.first_image(A.examples(spark, sf_dir))))
+    return wrapped.select(
+        "doc_id", "messages", F.size("images").alias("n_images"), F.array_join("images", ",").alias("images")
+    )
 
 
 @query(
     "project_example",
-    f"""WITH {sql.ITEMS}, {sql.IMAGES}
-SELECT path AS image, (1 + 2 * len(string_split(text, chr(10))))::INTEGER AS n_messages
-FROM imgs JOIN documents USING (doc_id)""",
+    f"{_WITH_MESSAGES} SELECT path AS image, messages FROM imgs JOIN hashes USING (doc_id)",
 )
 def project_example(spark, sf_dir):
-    df = X.project_example(X.explode_images(A.local_examples(spark, sf_dir)))
-    return df.select("image", F.size("messages").alias("n_messages"))
+    return hashed(X.project_example(X.explode_images(A.local_examples(spark, sf_dir))))
 
 
 @query(
     "tag_split",
-    f"WITH {sql.IMAGES} SELECT uri AS image, 'train' AS split FROM imgs",
+    f"{_WITH_MESSAGES} SELECT uri AS image, messages, 'train' AS split FROM imgs JOIN hashes USING (doc_id)",
 )
 def tag_split(spark, sf_dir):
-    return X.tag_split(X.explode_images(A.image_examples(spark, sf_dir))).select("image", "split")
+    return hashed(X.tag_split(X.explode_images(A.examples(spark, sf_dir)))).select("image", "messages", "split")
 
 
 @query(
@@ -172,12 +197,18 @@ def count_examples(spark, sf_dir):
 
 @query(
     "example_key",
-    """SELECT md5('{"lang":"' || lang || '","source":"' || source || '"}') AS row_hash,
-       row_number() OVER (PARTITION BY lang, source) - 1 AS ordinal, lang, source
-FROM documents""",
+    f"""{_WITH_MESSAGES},
+rows AS (SELECT doc_id, messages, unnest(range(1 + (doc_id % 3 = 0)::INTEGER + (doc_id = 0)::INTEGER * 5)) AS ordinal FROM hashes)
+SELECT doc_id, messages, ordinal, 1::BIGINT AS n_hashes FROM rows""",
 )
 def example_key(spark, sf_dir):
-    return X.example_key(A.table(spark, sf_dir, "documents").select("lang", "source"))
+    """Whole examples with their messages, one in three of them twice, one seven times."""
+    examples = A.examples(spark, sf_dir)
+    again = examples.where("doc_id % 3 = 0")
+    often = examples.where("doc_id = 0").withColumn("_", F.explode(F.sequence(F.lit(1), F.lit(5)))).drop("_")
+    keyed = hashed(X.example_key(examples.unionByName(again).unionByName(often), rows_per_block=4))
+    hashes = keyed.groupBy("doc_id").agg(F.count_distinct("row_hash").alias("n_hashes"))
+    return keyed.select("doc_id", "messages", "ordinal").join(hashes, "doc_id")
 
 
 @query("peek_n", "SELECT doc_id, text FROM documents ORDER BY doc_id LIMIT 3")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from stepmark.functions.sizes import CONVERSION_MAX_PIXELS, CONVERSION_MIN_PIXELS
 from stepmark.functions.text import TOKEN_PATTERN
-from stepmark.plans.adapters import BASE, REMOTE, VOCAB_SIZE
+from stepmark.plans.adapters import BASE, REMOTE
 
 ITEMS = """
 docs AS (SELECT doc_id, source, string_split(text, chr(10)) AS l FROM documents),
@@ -63,10 +63,18 @@ RENDERED = ITEMS + "," + render("usable", MEDIA_FIRST, "rendered")
 TOKENS = RENDERED + f""",
 toks AS (SELECT doc_id, regexp_extract_all(text, '{TOKEN_PATTERN}', 1) AS t FROM rendered),
 tok AS (SELECT doc_id, unnest(t) AS token, unnest(range(len(t))) AS pos FROM toks)"""
-VOCAB = TOKENS + f""",
+VOCAB = TOKENS + """,
 vocab AS (
   SELECT token, (row_number() OVER (ORDER BY n DESC, token) - 1)::INTEGER AS token_id
-  FROM (SELECT token, count(*) AS n FROM tok GROUP BY token ORDER BY n DESC, token LIMIT {VOCAB_SIZE})
+  FROM (SELECT token, count(*) AS n FROM tok GROUP BY token)
+)"""
+PAD_ID = "(SELECT count(*) FROM vocab)"
+# One hash per example over all items of its messages, in order, NULL told from empty.
+MESSAGES = """
+hashes AS (
+  SELECT doc_id, md5(string_agg(concat_ws('|', role, type, coalesce('=' || text, '-'), coalesce('=' || image, '-'),
+                                          coalesce('=' || idx, '-')), chr(10) ORDER BY msg, pos)) AS messages
+  FROM items GROUP BY doc_id
 )"""
 ENCODED = VOCAB + """,
 enc AS (
@@ -140,3 +148,49 @@ px AS (
                          + 255 * (255 - l[(i + 3) % 64 + 1]) + 127) // 255 END AS v
   FROM lv
 )"""
+
+# The PAM files: their raw samples, their bytes as hexadecimal digits, and the RGB pixels of whole ones.
+PICTURES = """
+pic AS (
+  SELECT vec_id, [1, 3, 4][(vec_id % 3 + 1)::INTEGER] AS depth,
+         CASE WHEN vec_id % 25 = 3 THEN 1 WHEN vec_id % 2 = 0 THEN 8 ELSE 4 END AS height,
+         CASE WHEN vec_id % 25 = 3 THEN 256 WHEN vec_id % 2 = 0 THEN 8 ELSE 16 END AS width,
+         list_transform(embedding, lambda x: ((floor(x::DOUBLE * 1000)::BIGINT % 256) + 256) % 256) AS l
+  FROM embeddings
+),
+raw AS (
+  SELECT vec_id, i, c, l[(i + c) % 64 + 1] AS v FROM pic, range(256) p(i), range(4) q(c)
+  WHERE i < height * width AND c < depth
+),
+bodies AS (SELECT vec_id, string_agg(lpad(upper(to_hex(v)), 2, '0'), '' ORDER BY i, c) AS body FROM raw GROUP BY vec_id),
+picture_bytes AS (
+  SELECT vec_id, upper(hex(encode(concat('P7', chr(10), 'WIDTH ', width, chr(10), 'HEIGHT ', height, chr(10), 'DEPTH ', depth,
+         chr(10), 'MAXVAL 255', chr(10), 'TUPLTYPE ', ['GRAYSCALE', 'RGB', '', 'RGB_ALPHA'][CASE depth WHEN 1 THEN 1 WHEN 3 THEN 2 ELSE 4 END], chr(10),
+         CASE WHEN vec_id % 50 = 7 THEN '' ELSE 'ENDHDR' || chr(10) END))))
+         || CASE WHEN vec_id % 50 = 7 THEN '' ELSE body END AS bytes
+  FROM pic JOIN bodies USING (vec_id)
+),
+rgb AS (
+  SELECT p.vec_id, i, c, height, width,
+         CASE depth WHEN 1 THEN l[i % 64 + 1]
+                    WHEN 3 THEN l[(i + c) % 64 + 1]
+                    ELSE (l[(i + c) % 64 + 1] * l[(i + 3) % 64 + 1] + 255 * (255 - l[(i + 3) % 64 + 1]) + 127) // 255 END AS v
+  FROM pic p, range(256) s(i), range(3) t(c) WHERE i < height * width AND vec_id % 50 <> 7
+)"""
+
+
+def picked(base: str) -> str:
+    """CTE outcome(doc_id, messages, vec_id, reason) of the examples with pictures, files under `base`."""
+    return f"""
+last_ref AS (
+  SELECT doc_id, messages, CASE WHEN doc_id % 4 > 0 THEN (doc_id * 7 + (doc_id % 4 - 1) * 13) % 1100 END AS n FROM hashes
+),
+outcome AS (
+  SELECT doc_id, messages, n,
+         CASE WHEN n IS NULL THEN 'no image'
+              WHEN doc_id % 10 = 9 THEN 'not found: {base}/' || (n % 10) || '/gone' || n || '.pam'
+              WHEN vec_id IS NULL THEN 'not found: {base}/' || (n % 10) || '/' || n || '.pam'
+              WHEN n % 50 = 7 THEN 'not an image: {base}/' || (n % 10) || '/' || n || '.pam'
+              WHEN n % 25 = 3 THEN 'aspect ratio' END AS reason
+  FROM last_ref LEFT JOIN embeddings ON vec_id = n
+)"""

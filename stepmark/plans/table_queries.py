@@ -11,7 +11,7 @@ from stepmark.operators.batches import split_train_test
 from stepmark.plans import adapters as A
 from stepmark.plans import sql
 from stepmark.plans.catalog import query
-from stepmark.plans.image_queries import local_images
+from stepmark.plans.message_queries import messages_hash
 from stepmark.schemas import EXAMPLE
 from stepmark.session import shared_path
 from stepmark.sources import (
@@ -125,28 +125,28 @@ def stream_render(spark, sf_dir):
 
 @query(
     "stream_regroup",
-    f"""WITH {sql.IMAGES}
-SELECT doc_id, coalesce(string_agg(l.path, ',' ORDER BY n), '') AS images
-FROM documents LEFT JOIN imgs USING (doc_id) LEFT JOIN listing l ON l.path = imgs.path GROUP BY doc_id""",
+    f"""WITH {sql.ITEMS}, {sql.IMAGES}, {sql.MESSAGES}
+SELECT doc_id, any_value(messages) AS messages, coalesce(string_agg(l.path, ',' ORDER BY n), '') AS images
+FROM hashes LEFT JOIN imgs USING (doc_id) LEFT JOIN listing l ON l.path = imgs.path GROUP BY doc_id""",
 )
 def stream_existing(spark, sf_dir):
     out, state = _stream_paths(spark)
     lines = shared_path(spark, "jsonl")
-    local_images(spark, sf_dir).write.json(lines)
+    A.local_examples(spark, sf_dir).write.json(lines)
     listing = A.listing(spark, sf_dir)
-    schema = T.StructType([KEYED["doc_id"], KEYED["images"]])
     stream_regroup(
-        stream_jsonl(spark, lines, schema),
+        stream_jsonl(spark, lines, KEYED),
         lambda batch: I.keep_existing_images(batch, listing, "doc_id"),
         out,
         state,
     ).awaitTermination()
-    return scan_table(spark, out).select("doc_id", F.array_join("images", ",").alias("images"))
+    return scan_table(spark, out).select(
+        "doc_id", messages_hash(F.col("messages")).alias("messages"), F.array_join("images", ",").alias("images")
+    )
 
 
 @query("stream_peek", f"{_EXAMPLES} ORDER BY doc_id LIMIT 3")
 def stream_first(spark, sf_dir):
     out, state = _stream_paths(spark)
     stream = stream_jsonl(spark, A.example_lines(spark, sf_dir), KEYED)
-    stream_peek(stream, "doc_id", out, state).awaitTermination()
-    return summary(scan_table(spark, out))
+    return summary(stream_peek(stream, "doc_id", out, state))

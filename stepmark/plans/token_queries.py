@@ -37,7 +37,10 @@ def tokenize(spark, sf_dir):
     )
 
 
-@query("build_vocab", f"WITH {sql.VOCAB} SELECT token, token_id FROM vocab")
+@query(
+    "build_vocab",
+    f"WITH {sql.VOCAB} SELECT token, token_id FROM vocab ORDER BY token_id LIMIT {A.VOCAB_SIZE}",
+)
 def build_vocab(spark, sf_dir):
     return T.build_vocab(A.tokenized(spark, sf_dir), A.VOCAB_SIZE)
 
@@ -50,6 +53,23 @@ def vocab_lookup(spark, sf_dir):
     return A.encoded(spark, sf_dir)[0].select("doc_id", joined("ids").alias("ids"))
 
 
+@query("full_vocab", f"WITH {sql.VOCAB} SELECT token, token_id FROM vocab")
+def full_vocab(spark, sf_dir):
+    return T.full_vocab(A.tokenized(spark, sf_dir))
+
+
+@query(
+    "vocab_lookup_by_join",
+    f"WITH {sql.ENCODED} SELECT doc_id, string_agg(id, ',' ORDER BY pos) AS ids FROM enc GROUP BY doc_id",
+)
+def vocab_lookup_by_join(spark, sf_dir):
+    """The way for vocabularies beyond the broadcast bounds."""
+    tokens = A.tokenized(spark, sf_dir)
+    vocab = A.corpus_vocab(tokens)
+    encoded = T.lookup_by_join(tokens, vocab, "doc_id", "tokens", "token", "ids", "token_id", F.lit(T.UNKNOWN_ID))
+    return encoded.select("doc_id", joined("ids").alias("ids"))
+
+
 @query(
     "vocab_reverse_lookup",
     f"""WITH {sql.ENCODED}
@@ -267,15 +287,20 @@ def extend_vocab(spark, sf_dir):
 @query(
     "check_token_ids",
     f"""WITH {sql.VOCAB},
-wanted(token, expected_id) AS (VALUES ('<+>', 151666), ('<->', 151665), ('<nowhere>', 0))
+wanted(token, expected_id) AS (
+  VALUES ('<+>', 151666), ('<->', 151665), ('<nowhere>', 0)
+  UNION ALL SELECT token, token_id FROM vocab WHERE token = '<image>')
 SELECT token, expected_id, token_id,
-       CASE WHEN token_id IS NULL THEN 'unknown token' WHEN token_id <> expected_id THEN 'unexpected id' END AS problem
+       CASE WHEN token_id IS NULL THEN 'unknown token' WHEN token_id <> expected_id THEN 'unexpected id'
+            ELSE 'same id as padding' END AS problem
 FROM wanted LEFT JOIN vocab USING (token)""",
 )
 def check_token_ids(spark, sf_dir):
-    """Against the ids of a full model vocabulary, so every token is a violation here."""
-    expected = {GOOD: 151666, BAD: 151665, "<nowhere>": 0}
-    return T.check_token_ids(A.corpus_vocab(A.tokenized(spark, sf_dir)), expected, pad_id=0)
+    """Against the ids of a model vocabulary, and an image mark that padding shares: all are violations."""
+    vocab = A.corpus_vocab(A.tokenized(spark, sf_dir))
+    image = T.token_ids(vocab, [IMAGE])[IMAGE]
+    expected = {GOOD: 151666, BAD: 151665, "<nowhere>": 0, IMAGE: image}
+    return T.check_token_ids(vocab, expected, pad_id=image)
 
 
 def utf8_bytes():
@@ -283,8 +308,13 @@ def utf8_bytes():
     return lambda texts: [list(text.encode()) for text in texts]
 
 
-@query("tokenizer_plugin", "SELECT doc_id, strlen(text)::INTEGER AS n_ids FROM documents")
+@query(
+    "tokenizer_plugin",
+    "SELECT doc_id, strlen(text)::INTEGER AS n_ids, md5(upper(hex(encode(text)))) AS ids FROM documents",
+)
 def tokenizer_plugin(spark, sf_dir):
     encode = T.tokenizer_plugin(utf8_bytes)
     docs = spread(A.table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-    return docs.select("doc_id", F.size(encode("text")).alias("n_ids"))
+    ids = docs.select("doc_id", encode("text").alias("ids"))
+    as_hex = F.array_join(F.transform("ids", lambda i: F.lpad(F.hex(i), 2, "0")), "")
+    return ids.select("doc_id", F.size("ids").alias("n_ids"), F.md5(as_hex).alias("ids"))

@@ -104,3 +104,54 @@ def test_split_and_mix_are_stable(docs):
     mixed = B.dataset_mix({"all": (docs, "doc", 1.0), "some": (docs, "doc", 0.3), "none": (docs, "doc", 0.0)})
     counts = {r["dataset"]: r["count"] for r in mixed.groupBy("dataset").count().collect()}
     assert counts["all"] == 700 and 150 < counts["some"] < 270 and "none" not in counts
+
+
+def test_keys_and_images_in_batches(spark):
+    """In position order, whatever order the rows come in; equal ids do not decide the order."""
+    rows = [(i, f"k{i}", [7], [7], [f"{i}.png", "s.png"] if i % 3 else ([] if i else None)) for i in range(10)]
+    df = spark.createDataFrame(rows, "idx bigint, key string, ids array<int>, labels array<int>, images array<string>").orderBy(F.desc("idx"))
+    plan = B.BatchPlan(micro_batch=4, accumulation=1, devices=1)
+    padded = B.pad_to_longest(B.assign_batch(df, plan), 99)
+    got = {r["micro_batch"]: r for r in B.batch_collate(padded, key="key", images="images").collect()}
+    assert got[0].asDict().keys() == {"micro_batch", "keys", "input_ids", "labels", "images"}
+    for batch in range(3):
+        here = rows[4 * batch : 4 * batch + 4]
+        assert got[batch]["keys"] == [r[1] for r in here]
+        assert got[batch]["images"] == [r[4] or [] for r in here]
+    assert B.batch_collate(padded).columns == ["micro_batch", "input_ids", "labels"]
+    assert B.batch_collate(padded, key="key").columns == ["micro_batch", "keys", "input_ids", "labels"]
+
+
+def test_special_tokens_are_checked_in_the_flows(spark):
+    from examples import FIVE, frame
+
+    from stepmark.operators.tokens import token_ids
+    from stepmark.plans import flows
+
+    df = frame(spark, [(1, ["a.png"], FIVE), (2, [], FIVE)])
+    from stepmark.operators.tokens import full_vocab
+
+    vocab = full_vocab(flows.rendered_text(df))
+    marks = token_ids(vocab, ["<+>", "<->"])
+    keep = list(marks.values())
+    (batch,) = flows.training_batches(df, vocab, "id", keep, 999, images="images", expected=marks).collect()
+    assert sorted(zip(batch["keys"], batch["images"], strict=True)) == [(1, ["a.png"]), (2, [])]
+    assert all(len([x for x in row if x != -100]) == 2 for row in batch["labels"])
+    for flow in (flows.training_batches, flows.indexed_batches):
+        with pytest.raises(ValueError, match="special tokens"):
+            flow(df, vocab, "id", keep, 999, expected={"<+>": 12345})
+        with pytest.raises(ValueError, match="special tokens"):
+            flow(df, vocab, "id", [], marks["<+>"], expected=marks)
+    with pytest.raises(ValueError, match="padding id"):
+        flows.training_batches(df, vocab, "id", keep, keep[0])
+
+
+def test_number_by_ranges(spark):
+    from stepmark.operators.numbering import number_by_ranges
+
+    df = spark.range(5000).selectExpr("id", "id % 7 AS n").repartition(13)
+    got = number_by_ranges(df, [F.desc("n"), F.asc("id")], "place").collect()
+    expected = sorted(range(5000), key=lambda i: (-(i % 7), i))
+    assert [r["id"] for r in sorted(got, key=lambda r: r["place"])] == expected
+    assert sorted(r["place"] for r in got) == list(range(5000))
+    assert number_by_ranges(df.limit(0), [F.asc("id")], "place").count() == 0

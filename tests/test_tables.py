@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from examples import FIVE, frame
@@ -10,7 +11,11 @@ from stepmark.operators.messages import render_chat
 from stepmark.session import shared_path, spread, through_table
 from stepmark.sources import (
     describe_columns,
+    list_files,
     publish_version,
+    read_files,
+    read_manifest,
+    scan_files,
     scan_jsonl,
     scan_split,
     scan_table,
@@ -62,12 +67,88 @@ def test_publish_and_read_a_split(spark, tmp_path):
     assert got == {"test": (10, 0, 90, "2"), "train": (90, 1, 99, "2")}
     test = scan_split(spark, f"{tmp_path}/steps/v=2", "test")
     assert test.count() == 10
-    plan = test._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(split" in plan
+    listed = test.inputFiles()
+    assert listed and all("/steps/v=2/split=test/" in f for f in listed), "only the chosen folder is in the plan"
+    assert set(test.columns) == {"id", "split"}
     by_version = scan_split(spark, f"{tmp_path}/steps", "train", v="2")
     assert by_version.count() == 90
-    with pytest.raises(AnalysisException):
+    assert set(by_version.columns) == {"id", "v", "split"}
+    with pytest.raises(FileExistsError):
         publish_version(df, str(tmp_path), "steps", "2", "id")
+    with pytest.raises(FileNotFoundError):
+        scan_split(spark, f"{tmp_path}/steps", "train", v="3")
+    with pytest.raises(ValueError, match="no partition columns"):
+        scan_split(spark, f"{tmp_path}/steps", "train", v="2", lang="en")
+
+
+def test_split_by_several_columns_in_any_order(spark, tmp_path):
+    df = spark.range(12).selectExpr("id", "if(id % 2 = 0, 'a b', 'x:y') AS config", "if(id % 3 = 0, 'test', 'train') AS split")
+    publish_version(df, str(tmp_path), "t", "1", "id", by=("config", "split"))
+    ids = lambda got: sorted(r["id"] for r in got.collect())
+    assert ids(scan_split(spark, f"{tmp_path}/t/v=1", "test", config="x:y")) == [3, 9]
+    assert ids(scan_split(spark, f"{tmp_path}/t", "train", config="a b", v="1")) == [2, 4, 8, 10]
+    assert ids(scan_split(spark, f"{tmp_path}/t", "test")) == [0, 3, 6, 9], "all values of the other columns"
+
+
+def test_a_publication_that_fails_leaves_no_version(spark, tmp_path, monkeypatch):
+    from stepmark.sources import writers
+
+    df = spark.range(10).withColumn("split", F.lit("train"))
+    monkeypatch.setattr(writers, "MANIFEST", "a/\0")  # the second of the two writes fails
+    with pytest.raises(Exception):  # noqa: B017, PT011  (whatever the file system says)
+        publish_version(df, str(tmp_path), "t", "1", "id")
+    assert not (tmp_path / "t" / "v=1").exists()
+    monkeypatch.undo()
+
+    def no_rename(*_):
+        raise OSError("lost")
+
+    monkeypatch.setattr(writers._Renaming, "rename", no_rename)
+    with pytest.raises(OSError, match="lost"):
+        publish_version(df, str(tmp_path), "t", "1", "id")
+    assert not (tmp_path / "t" / "v=1").exists()
+    monkeypatch.undo()
+    with pytest.raises(ValueError, match="no partition columns"):
+        scan_split(spark, f"{tmp_path}/t", "train", v="1")
+    publish_version(df, str(tmp_path), "t", "1", "id")
+    assert scan_split(spark, f"{tmp_path}/t", "train", v="1").count() == 10
+    assert read_manifest(spark, str(tmp_path), "t", "1").first()["num_rows"] == 10
+    with pytest.raises(Exception, match="FileAlreadyExists"):
+        writers._Renaming(spark, str(tmp_path)).rename(f"{tmp_path}/t/_staged", f"{tmp_path}/t/v=1")
+
+
+def test_listing_by_tasks_equals_the_listing_of_the_driver(spark, tmp_path):
+    for name in ("a/1.bin", "a/b/2.bin", "a/b/c/3.bin", "d/_hidden/4.bin", "d/.x", "d/e f/5 %20+.bin", "6.bin"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(name.encode() * 3)
+    (tmp_path / "empty").mkdir()
+    driver = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(str(tmp_path))
+    expected = {(r["path"].removeprefix("file:"), r["length"]) for r in driver.select("path", "length").collect()}
+    assert {tuple(r) for r in list_files(spark, str(tmp_path)).collect()} == expected and len(expected) == 5
+    assert {tuple(r) for r in list_files(spark, f"file://{tmp_path}/").collect()} == expected
+    assert list_files(spark, f"{tmp_path}/empty").count() == 0
+    content = {r["path"]: bytes(r["content"]) for r in scan_files(spark, str(tmp_path)).collect()}
+    assert content == {p: open(p, "rb").read() for p, _ in expected}
+    with pytest.raises(FileNotFoundError):
+        list_files(spark, f"{tmp_path}/none")
+
+
+def test_files_are_read_where_the_rows_are(spark, tmp_path, monkeypatch):
+    from stepmark.sources import files
+
+    monkeypatch.setattr(files, "READ_BYTES", 10)
+    for i in range(4):
+        (tmp_path / f"{i}").write_bytes(bytes([i]) * 7)
+    names = [f"{tmp_path}/{i % 4}" for i in range(20)] + [f"file://{tmp_path}/1", None, f"{tmp_path}/gone", str(tmp_path), "odd://x"]
+    df = spark.createDataFrame(list(enumerate(names)), "id int, path string").sortWithinPartitions("path")
+    for r in read_files(df).collect():
+        if r["id"] < 21:
+            assert bytes(r["content"]) == bytes([r["id"] % 4 if r["id"] < 20 else 1]) * 7 and r["reason"] is None
+        else:
+            assert r["content"] is None
+            assert r["reason"].startswith(["no reference", "not found", "unreadable", "unreadable"][r["id"] - 21])
+    with pytest.raises(ValueError, match="already"):
+        read_files(df.withColumn("reason", F.lit(1)))
 
 
 def test_verify_written(spark):
@@ -129,5 +210,21 @@ def test_stream_peek(spark, tmp_path):
     (tmp_path / "in").mkdir()
     source = lines(tmp_path / "in", [{"images": [f"{i}"], "messages": []} for i in range(9)])
     stream = stream_jsonl(spark, source).withColumn("first", F.get("images", F.lit(0)))
-    stream_peek(stream, "first", f"{tmp_path}/out", f"{tmp_path}/state").awaitTermination()
-    assert sorted(r["first"] for r in scan_table(spark, f"{tmp_path}/out").collect()) == ["0", "1", "2"]
+    got = stream_peek(stream, "first", f"{tmp_path}/out", f"{tmp_path}/state")
+    assert sorted(r["first"] for r in got.collect()) == ["0", "1", "2"]
+
+
+def test_stream_peek_stops(spark, tmp_path):
+    """Two rows a file, one file a micro-batch: three rows are in the first two files, the third is broken."""
+    (tmp_path / "in").mkdir()
+    for number, line in enumerate(["ab", "cd", None, "ef"]):
+        file = tmp_path / "in" / f"{number}.jsonl"
+        file.write_text("{broken" if line is None else "".join(json.dumps({"images": [c], "messages": []}) + "\n" for c in line))
+        os.utime(file, (1_700_000_000 + 100 * number,) * 2)
+    stream = lambda: stream_jsonl(spark, f"{tmp_path}/in", files_per_batch=1).withColumn("first", F.get("images", F.lit(0)))
+    got = stream_peek(stream(), "first", f"{tmp_path}/out", f"{tmp_path}/state")
+    assert sorted(r["first"] for r in got.collect()) == ["a", "b", "c"]
+    again = stream_peek(stream(), "first", f"{tmp_path}/out", f"{tmp_path}/state")
+    assert sorted(r["first"] for r in again.collect()) == ["a", "b", "c"], "a query that starts again has what it needs"
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        stream_peek(stream(), "first", f"{tmp_path}/out2", f"{tmp_path}/state2", n=5)
