@@ -17,6 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,8 @@ from stepmark.llm.common import pick, shared_path, through_table
 
 LENGTH, BATCH = 2048, 256
 MOST_CACHED = 1_000_000
+#: Texts that are encoded together.
+TEXTS = 256
 MANIFEST = "part int, path string, n_tokens long, n_docs long"
 
 
@@ -43,8 +46,8 @@ class Encoder:
     """Ids of whole texts, equal to the tokenizer's, each distinct word encoded once.
 
     This tokenizer drops white space and never joins across it, so a text is the sum of the
-    pieces between spaces. A piece of Latin letters (with a full stop or comma after it) goes to
-    the merges directly; any other piece takes the tokenizer's whole way.
+    pieces between spaces. A piece of Latin letters goes to the merges directly, a full stop or
+    comma after letters is looked up by itself; any other piece takes the tokenizer's whole way.
     """
 
     def __init__(self, path: str):
@@ -52,64 +55,81 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merge = self.tokenizer.model.tokenize
         self.letters = _byte_letters()
         self.clear()
 
     def clear(self) -> None:
-        self.places: dict[str, int] = {}
-        self.known: dict[str, list[int]] = {}
+        self.places: dict[str, int] = {"": 0}
+        self.known: dict[str, tuple[int, ...]] = {}  # tuples of numbers are no work for the collector
         self.flat = np.zeros(1 << 16, dtype=np.uint32)
-        self.used = 0
         self.ends = np.zeros(1 << 16, dtype=np.int64)  # of the ids of each piece; the first is empty
-        self.places[""] = 0
 
-    def _ids(self, piece: str) -> list[int]:
+    def _ids(self, piece: str) -> tuple[int, ...]:
         found = self.known.get(piece)
         if found is None:
-            if piece.isalpha() and max(piece) < "ɐ":
-                coded = unicodedata.normalize("NFC", piece).encode()
-                found = [t.id for t in self.tokenizer.model.tokenize(coded.decode("latin-1").translate(self.letters))]
+            if piece.isalpha() and (piece.isascii() or max(piece) < "ɐ"):
+                if not piece.isascii():
+                    piece_bytes = unicodedata.normalize("NFC", piece).encode()
+                    found = tuple([t.id for t in self.merge(piece_bytes.decode("latin-1").translate(self.letters))])
+                else:
+                    found = tuple([t.id for t in self.merge(piece)])
             else:
-                found = self.tokenizer.encode(piece, add_special_tokens=False).ids
+                found = tuple(self.tokenizer.encode(piece, add_special_tokens=False).ids)
             self.known[piece] = found
         return found
 
-    def _add(self, piece: str) -> int:
-        plain = piece
-        if max(piece) < "ɐ":
-            plain = piece if "<|" in piece else piece.lower()  # names of special tokens stay as they are
-        if len(plain) > 1 and plain[-1] in ".," and plain[:-1].isalpha():
-            ids = self._ids(plain[:-1]) + self._ids(plain[-1])
-        else:
-            ids = self._ids(plain)
-        if self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), dtype=np.uint32)])
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.used += len(ids)
-        place = self.places[piece] = len(self.places)
-        if place == len(self.ends):
-            self.ends = np.concatenate([self.ends, np.zeros(len(self.ends), dtype=np.int64)])
-        self.ends[place] = self.used
-        return place
-
-    def encode(self, text: str) -> np.ndarray:
+    def _new(self, piece: str) -> tuple[int, ...]:
+        """The ids of a piece. A mark at its end is a token of its own after letters that are still
+        letters once they are normalized: some become a letter and a sign that joins the mark."""
+        latin = piece.isascii() or max(piece) < "ɐ"
+        plain = piece.lower() if latin and "<|" not in piece else piece  # names of special tokens stay as they are
+        if plain[-1] in ".," and len(plain) > 1:
+            head = plain[:-1]
+            if head.isalpha() and (latin or unicodedata.normalize("NFC", head).lower().isalpha()):
+                return self._ids(head) + self._ids(plain[-1])
+        return self._ids(plain)
+
+    def _places(self, pieces: list[str]) -> np.ndarray:
+        """The place of each of some distinct pieces; those not known yet are encoded."""
         if len(self.places) > MOST_CACHED:
             self.clear()
-        pieces = text.replace("\n", " ").split(" ")
-        get = self.places.get
-        codes = [get(p) for p in pieces]
-        if None in codes:
-            for i, code in enumerate(codes):
-                if code is None:
-                    code = get(pieces[i])
-                    codes[i] = self._add(pieces[i]) if code is None else code
-        at = np.array(codes, dtype=np.int64)
-        ends = self.ends[at]
+        first = len(self.places)
+        found = [*map(self.places.get, pieces)]
+        ids, sizes = [], []
+        for i, place in enumerate(found):
+            if place is None:
+                new = self._new(pieces[i])
+                found[i] = self.places[pieces[i]] = first + len(sizes)
+                ids += new
+                sizes.append(len(new))
+        if sizes:
+            used, last = int(self.ends[first - 1]), first + len(sizes)
+            if used + len(ids) > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), dtype=np.uint32)])
+            if last > len(self.ends):
+                self.ends = np.concatenate([self.ends, np.zeros(max(len(self.ends), len(sizes)), dtype=np.int64)])
+            self.flat[used : used + len(ids)] = ids
+            self.ends[first:last] = used + np.cumsum(sizes)
+        return np.array(found, dtype=np.int64)
+
+    def encode_all(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text; the distinct pieces of all of them are looked up once."""
+        if not texts:
+            return
+        lists = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
+        coded = lists.flatten().dictionary_encode()
+        at = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
         starts = self.ends[np.maximum(at - 1, 0)]
-        n = ends - starts
-        total = int(n.sum())
-        shift = np.repeat(starts - (np.cumsum(n) - n), n)
-        return self.flat[shift + np.arange(total)]
+        n = self.ends[at] - starts
+        before = np.append(0, np.cumsum(n))
+        ids = self.flat[np.repeat(starts - before[:-1], n) + np.arange(before[-1])]
+        cuts = before[np.asarray(lists.offsets)].tolist()
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            yield ids[a:b]
+
+    def encode(self, text: str) -> np.ndarray:
+        return next(self.encode_all([text]))
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -177,20 +197,22 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, doc_id: str
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         context = TaskContext.get()
         part, attempt = context.partitionId(), context.taskAttemptId()
-        encode = encoder(tokenizer).encode
+        encode_all = encoder(tokenizer).encode_all
         fs, root = _filesystem(folder)
         fs.create_dir(root, recursive=True)
         name = f"{root}/part-{part:05d}"
         ids, counts, writer, sink = [], [], None, None
         for batch in batches:
-            for key, value in zip(batch["doc_id"], batch["text"], strict=True):
-                if writer is None:
-                    sink = fs.open_output_stream(f"{name}.{attempt}.part")
-                    writer = _Writer(sink, kind, length, end_id)
-                coded = np.append(encode(value or ""), np.uint32(end_id)).astype(np.uint32)
-                writer.add(coded)
-                ids.append(None if pd.isna(key) else int(key))
-                counts.append(len(coded))
+            for at in range(0, len(batch), TEXTS):
+                some = batch.iloc[at : at + TEXTS]
+                for key, found in zip(some["doc_id"], encode_all([t or "" for t in some["text"]]), strict=True):
+                    if writer is None:
+                        sink = fs.open_output_stream(f"{name}.{attempt}.part")
+                        writer = _Writer(sink, kind, length, end_id)
+                    coded = np.append(found, np.uint32(end_id)).astype(np.uint32)
+                    writer.add(coded)
+                    ids.append(None if pd.isna(key) else int(key))
+                    counts.append(len(coded))
         if writer is None:
             return
         writer.close()
