@@ -168,9 +168,15 @@ def _matcher(spark, items: Items, threshold: float):
 
 
 def with_matches(
-    docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", threshold: float = 0.8
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    threshold: float = 0.8,
+    column: str = "matches",
 ) -> DataFrame:
-    """`docs` with `matches` (replaces a column of that name): the items that a text contains.
+    """`docs` with `column` (replaces a column of that name): the items that a text contains.
 
     A match is a window of as many words as the item (or a shorter whole text) whose weighted
     similarity to it over five-word n-grams is at least `threshold`; an array entry has the best
@@ -184,7 +190,7 @@ def with_matches(
     NULL id match under a NULL id; repeated items count each. Without items nothing matches.
     """
     spark = docs.sparkSession
-    docs = docs.drop("matches") if "matches" in docs.columns else docs
+    docs = docs.drop(column) if column in docs.columns else docs
     items = pick(benchmark, item_id=item_id, text=item_text).where("text is not null")
     count, size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     blocks = max(1, math.ceil(count / ITEMS), math.ceil(size / ITEM_BYTES))
@@ -196,7 +202,7 @@ def with_matches(
         rows = sorted(part.collect(), key=lambda r: (r["item_id"] is None, r["item_id"], r["text"]))  # bounded by the block
         match = _matcher(spark, Items.of([r["item_id"] for r in rows], [r["text"] for r in rows]), threshold)(F.col(f"`{text}`"))
         found = match if found is None else F.concat(found, match)
-    return docs.withColumn("matches", found)
+    return docs.withColumn(column, found)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -206,5 +212,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """`docs` without those that contain an item; all columns kept."""
-    return with_matches(docs, benchmark, **options).where(F.size("matches") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """`docs` without those that contain an item; all columns kept, whatever their names."""
+    found = with_matches(docs, benchmark, column="__matches", **options)
+    return found.where(F.size("__matches") == 0).drop("__matches")

@@ -157,7 +157,13 @@ def train(docs: DataFrame, usable: Column, doc_id: str = "doc_id", text: str = "
 
 
 def predict(docs: DataFrame, model: Classifier | None, text: str = "text") -> DataFrame:
-    """`docs` with lang_pred and score (which replace columns of that name); only the text is used.
+    """`docs` with lang_pred and score, which replace columns of that name; see `with_guess`."""
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")]
+    return with_guess(docs, model, text).select(*kept, F.col("__guess.lang_pred").alias("lang_pred"), F.col("__guess.score").alias("score"))
+
+
+def with_guess(docs: DataFrame, model: Classifier | None, text: str = "text") -> DataFrame:
+    """`docs` with `__guess`, struct(lang_pred, score); all columns kept, only the text is used.
 
     The score is the softmax of the one-versus-rest outputs (scale 4), 0 for `und`: text that
     is NULL or has no letter, or any text if there was nothing to learn from.
@@ -182,6 +188,4 @@ def predict(docs: DataFrame, model: Classifier | None, text: str = "text") -> Da
                 sure[rows] = (raised / raised.sum(axis=1, keepdims=True))[np.arange(len(rows)), best]
             yield pd.DataFrame({"lang_pred": labels, "score": sure})
 
-    return docs.withColumn("__guess", guess(F.col(f"`{text}`"))).select(
-        *[F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")], F.col("__guess.lang_pred").alias("lang_pred"), F.col("__guess.score").alias("score")
-    )
+    return docs.withColumn("__guess", guess(F.col(f"`{text}`")))

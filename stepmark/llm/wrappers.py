@@ -25,7 +25,8 @@ TAG = re.compile(
 )
 CLASS = re.compile(r"""\bclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
 WORDS = re.compile(r"[A-Za-z]+")
 
 # Fixed sets of HTML: elements without content, raw text, inline elements, and implied ends.
@@ -96,7 +97,18 @@ def _drops(tag: str, rest: str, parent: Node) -> bool:
     """Whether the element never holds the article or is hidden."""
     if tag in NOT_TEXT or (tag == "header" and not parent.article):
         return True
-    return tag not in ROOTS and ("hidden" in rest.lower() or "display" in rest.lower()) and bool(HIDDEN.search(rest))
+    return tag not in ROOTS and _hidden(rest)
+
+
+def _hidden(rest: str) -> bool:
+    """Whether there is an attribute `hidden`, or a style that shows nothing; not the word in a value."""
+    lower = rest.lower()
+    if "hidden" not in lower and "display" not in lower:
+        return False
+    return any(
+        found[0].lower() == "hidden" or (found[0].lower() == "style" and NOT_SHOWN.search("".join(found[1:])))
+        for found in ATTRIBUTE.findall(rest)
+    )
 
 
 def _named(tag: str, rest: str, parent: Node) -> bool:
