@@ -13,6 +13,7 @@ import os
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -29,7 +30,7 @@ from stepmark.llm.common import pick, shared_path, through_table
 LENGTH, BATCH = 2048, 256
 MOST_CACHED = 1_000_000
 #: Texts that are encoded together.
-TEXTS = 256
+TEXTS = 1024
 MANIFEST = "part int, path string, n_tokens long, n_docs long"
 
 
@@ -68,14 +69,13 @@ class Encoder:
     def _ids(self, piece: str) -> tuple[int, ...]:
         found = self.known.get(piece)
         if found is None:
-            if piece.isalpha() and (piece.isascii() or max(piece) < "ɐ"):
-                if not piece.isascii():
-                    piece_bytes = unicodedata.normalize("NFC", piece).encode()
-                    found = tuple([t.id for t in self.merge(piece_bytes.decode("latin-1").translate(self.letters))])
-                else:
-                    found = tuple([t.id for t in self.merge(piece)])
-            else:
+            if not piece.isalpha() or (not piece.isascii() and max(piece) >= "ɐ"):
                 found = tuple(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+            else:
+                letters = piece
+                if not piece.isascii():
+                    letters = unicodedata.normalize("NFC", piece).encode().decode("latin-1").translate(self.letters)
+                found = tuple([t.id for t in self.merge(letters)])
             self.known[piece] = found
         return found
 
@@ -83,34 +83,35 @@ class Encoder:
         """The ids of a piece. A mark at its end is a token of its own after letters that are still
         letters once they are normalized: some become a letter and a sign that joins the mark."""
         latin = piece.isascii() or max(piece) < "ɐ"
-        plain = piece.lower() if latin and "<|" not in piece else piece  # names of special tokens stay as they are
-        if plain[-1] in ".," and len(plain) > 1:
-            head = plain[:-1]
+        if latin and "<|" not in piece:  # names of special tokens stay as they are
+            piece = piece.lower()
+        last = piece[-1]
+        if last == "." or last == ",":
+            head = piece[:-1]
             if head.isalpha() and (latin or unicodedata.normalize("NFC", head).lower().isalpha()):
-                return self._ids(head) + self._ids(plain[-1])
-        return self._ids(plain)
+                return self._ids(head) + self._ids(last)
+        return self._ids(piece)
 
     def _places(self, pieces: list[str]) -> np.ndarray:
         """The place of each of some distinct pieces; those not known yet are encoded."""
         if len(self.places) > MOST_CACHED:
             self.clear()
-        first = len(self.places)
         found = [*map(self.places.get, pieces)]
-        ids, sizes = [], []
-        for i, place in enumerate(found):
-            if place is None:
-                new = self._new(pieces[i])
-                found[i] = self.places[pieces[i]] = first + len(sizes)
-                ids += new
-                sizes.append(len(new))
-        if sizes:
-            used, last = int(self.ends[first - 1]), first + len(sizes)
+        missing = [i for i, place in enumerate(found) if place is None]
+        if missing:
+            first, last = len(self.places), len(self.places) + len(missing)
+            new = [self._new(pieces[i]) for i in missing]
+            self.places.update(zip([pieces[i] for i in missing], range(first, last), strict=True))
+            for place, i in enumerate(missing, first):
+                found[i] = place
+            ids = [*chain.from_iterable(new)]
+            used = int(self.ends[first - 1])
             if used + len(ids) > len(self.flat):
                 self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), dtype=np.uint32)])
             if last > len(self.ends):
-                self.ends = np.concatenate([self.ends, np.zeros(max(len(self.ends), len(sizes)), dtype=np.int64)])
+                self.ends = np.concatenate([self.ends, np.zeros(max(len(self.ends), len(missing)), dtype=np.int64)])
             self.flat[used : used + len(ids)] = ids
-            self.ends[first:last] = used + np.cumsum(sizes)
+            self.ends[first:last] = used + np.cumsum([*map(len, new)])
         return np.array(found, dtype=np.int64)
 
     def encode_all(self, texts: list[str]) -> Iterator[np.ndarray]:
