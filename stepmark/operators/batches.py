@@ -7,6 +7,7 @@ without a key see `example_key`.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -142,7 +143,7 @@ def _padded(values: Column, length: Column, fill: int, side: str) -> Column:
 def pad_to_longest(
     df: DataFrame,
     pad_id: int,
-    batch: str = "micro_batch",
+    batch: str | list[str] = "micro_batch",
     ids: str = "ids",
     labels: str | None = None,
     side: str = "right",
@@ -161,7 +162,7 @@ def pad_to_longest(
 
 def batch_collate(
     df: DataFrame,
-    batch: str = "micro_batch",
+    batch: str | list[str] = "micro_batch",
     position: str = "position",
     ids: str = "ids",
     labels: str = "labels",
@@ -184,4 +185,36 @@ def batch_collate(
         fields.append(F.coalesce(F.col(images), F.array().cast("array<string>")).alias("images"))
     names = [*(["keys"] if key is not None else []), "input_ids", "labels", *(["images"] if images is not None else [])]
     rows = F.sort_array(F.collect_list(F.struct(*fields)))  # by position, which no two rows share
-    return df.groupBy(batch).agg(rows.alias("rows")).select(batch, *[F.col(f"rows.{n}").alias(n) for n in names])
+    by = [batch] if isinstance(batch, str) else batch
+    return df.groupBy(*by).agg(rows.alias("rows")).select(*by, *[F.col(f"rows.{n}").alias(n) for n in names])
+
+
+def collated_batches(
+    df: DataFrame,
+    key: str,
+    pad_id: int,
+    label: Callable[[Column], Column],
+    plan: BatchPlan = BatchPlan(),
+    images: str | None = None,
+    seed: int = SEED,
+    digits: int = PREFIX_DIGITS,
+) -> DataFrame:
+    """`global_index`, `assign_batch`, `pad_to_longest`, `label` of the padded ids, and `batch_collate`
+    with one exchange of the ids.
+
+    Ids are dealt out by the hash prefix that names the numbering block, and a batch whose rows all
+    lie in one block is padded and collated where they are. Only the rows of batches that lie
+    across two blocks, fewer than two batches per block, are shuffled again. The batches are those
+    of the operators one by one.
+    """
+    hashed = df.withColumn("_hash", seeded_hash(F.col(key), seed, 0)).withColumn("_block", F.substring("_hash", 1, digits))
+    numbered = number_by_blocks(hashed, [], "_block", ["_hash", key], "idx", few_blocks=True, bounds=("_first", "_end"))
+    rows = assign_batch(numbered, plan)
+    start = F.col("micro_batch") * plan.micro_batch
+    inside = (start >= F.col("_first")) & (start + plan.micro_batch <= F.col("_end"))
+
+    def collated(part: DataFrame, batch: list[str]) -> DataFrame:
+        padded = pad_to_longest(part, pad_id, batch).withColumn("labels", label(F.col("ids")))
+        return batch_collate(padded, batch, key=key, images=images).drop("_block")
+
+    return collated(rows.where(inside), ["_block", "micro_batch"]).unionByName(collated(rows.where(~inside), ["micro_batch"]))

@@ -47,7 +47,8 @@ def keep_existing_images(
 ) -> DataFrame:
     """Drop the images that are not in `listing`; examples stay, with an empty list if need be.
 
-    Only key, position and reference take part in the lookup. The messages are shuffled once,
+    `listing` has the paths that count as existing; see `readable_images` for those that can be
+    opened. Only key, position and reference take part in the lookup. The messages are shuffled once,
     when the kept lists join back. `key` must be unique; NULL is a key like any other.
     """
     refs = df.select(key, F.posexplode("images").alias("pos", "path"))
@@ -184,6 +185,16 @@ def _rgb_pixels(data: bytes, height: int, width: int, channels: int) -> np.ndarr
     return to_rgb(np.frombuffer(data, np.uint8).reshape(height, width, channels))
 
 
+def readable_images(listing: DataFrame, decoder: Callable[[], Callable[[bytes], np.ndarray]] = netpbm_decoder) -> DataFrame:
+    """(path) of the listed files that are there and can be decoded.
+
+    As the listing of `keep_existing_images` it drops unreadable images as well as missing ones.
+    Each distinct file is opened once, by a task; pixels go no further.
+    """
+    files = in_reading_tasks(listing.select("path").distinct(), "path", IMAGES_PER_TASK)
+    return decode_images(read_files(files), decoder).where("reason is null").select("path")
+
+
 def images_to_rgb(images: DataFrame) -> DataFrame:
     """Three-channel pixels of decoded images; data is NULL where the image was unreadable."""
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stepmark.operators.numbering import number_by_blocks
+from stepmark.operators.numbering import number_by_blocks, number_by_ranges
 
 EVERY = 10  # fixed value: logged steps per mean
 
@@ -31,13 +31,13 @@ def run_throughput(log: DataFrame, samples_per_step: int) -> DataFrame:
     )
 
 
-def log_steps(log: DataFrame, block: str = "hour") -> DataFrame:
+def log_steps(log: DataFrame) -> DataFrame:
     """Number the rows of each run from 0 in time order, as `step` (ties by `event_id`).
 
-    Runs are numbered by time blocks, so a run with a large share of the log is many sorts.
+    Runs are numbered by ranges of (run, time), so a run with a large share of the log is many
+    sorts, however short it is.
     """
-    blocked = log.withColumn("_block", F.date_trunc(block, "ts"))
-    return number_by_blocks(blocked, ["run_id"], "_block", ["ts", "event_id"], "step").drop("_block")
+    return number_by_ranges(log, [F.asc("ts"), F.asc("event_id")], "step", ("run_id",))
 
 
 def metric_every_n(log: DataFrame, n: int = EVERY) -> DataFrame:

@@ -157,12 +157,16 @@ def dims(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(run_id, step, ts, loss): every event is a logged step of the run of its user."""
-    events = table(spark, sf_dir, "events").select(
+def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(run_id, event_id, ts, loss): every event is a logged step of the run of its user."""
+    return table(spark, sf_dir, "events").select(
         F.col("user_id").alias("run_id"), "event_id", "ts", F.col("value").alias("loss")
     )
-    return log_steps(events)
+
+
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with its steps numbered."""
+    return log_steps(raw_log(spark, sf_dir))
 
 
 def _png(pixels: np.ndarray) -> bytes:

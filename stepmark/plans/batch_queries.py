@@ -173,7 +173,7 @@ SELECT run_id, round(runtime, 6) AS runtime, steps, round(mean_loss, 9) AS mean_
 FROM runs""",
 )
 def run_throughput(spark, sf_dir):
-    result = G.run_throughput(A.run_log(spark, sf_dir), samples_per_step=8)
+    result = G.run_throughput(A.raw_log(spark, sf_dir), samples_per_step=8)
     places = {"runtime": 6, "mean_loss": 9, "steps_per_second": 9, "samples_per_second": 9}
     return result.withColumns({c: F.round(c, n) for c, n in places.items()})
 

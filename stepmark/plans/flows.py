@@ -79,10 +79,6 @@ def rendered_text(df: DataFrame, template: M.ChatTemplate = M.ChatTemplate()) ->
     return df.withColumn("tokens", tokenize_text(M.render_chat(messages, template))).drop("messages")
 
 
-def _batched(encoded: DataFrame, key: str, pad_id: int, plan: B.BatchPlan) -> DataFrame:
-    return B.pad_to_longest(B.assign_batch(B.global_index(encoded, key), plan), pad_id)
-
-
 def _check_special(vocab: DataFrame, expected: dict[str, int] | None, pad_id: int, keep: list[int]) -> None:
     """Raise where a special token has not the id it should have, or padding would be supervised."""
     if pad_id in keep:
@@ -109,8 +105,7 @@ def training_batches(
     _check_special(vocab, expected, pad_id, keep)
     carried = [key] if images is None else [key, images]
     encoded = T.vocab_lookup(rendered_text(df), vocab, key).select(*carried, "ids")
-    padded = _batched(encoded, key, pad_id, plan)
-    return B.batch_collate(padded.withColumn("labels", L.mask_keep(F.col("ids"), keep)), key=key, images=images)
+    return B.collated_batches(encoded, key, pad_id, lambda ids: L.mask_keep(ids, keep), plan, images)
 
 
 def indexed_batches(
@@ -134,6 +129,4 @@ def indexed_batches(
         tokenize_text(M.render_chat(F.col("messages"), strip=True)).alias("tokens"),
     )
     encoded = T.vocab_lookup(tokens, vocab, key).select(key, "images", "ids")
-    padded = _batched(encoded, key, pad_id, plan)
-    labels = L.mask_drop(F.col("ids"), [*drop, pad_id])
-    return B.batch_collate(padded.withColumn("labels", labels), key=key, images="images")
+    return B.collated_batches(encoded, key, pad_id, lambda ids: L.mask_drop(ids, [*drop, pad_id]), plan, "images")

@@ -148,6 +148,30 @@ def keep_existing_images(spark, sf_dir):
     )
 
 
+@query(
+    "keep_readable_images",
+    f"""WITH {sql.ITEMS}, {sql.MESSAGES},
+refs AS (
+  SELECT doc_id, k, n FROM (SELECT doc_id, k, (doc_id * 7 + k * 13) % 1100 AS n FROM documents, range(3) t(k) WHERE k < doc_id % 4)
+  WHERE doc_id % 10 <> 9 AND n % 50 <> 7 AND n IN (SELECT vec_id FROM embeddings))
+SELECT doc_id, any_value(messages) AS messages, count(n)::INTEGER AS n_images, coalesce(string_agg(n, ',' ORDER BY k), '') AS images
+FROM hashes LEFT JOIN refs USING (doc_id) GROUP BY doc_id""",
+)
+def keep_readable_images(spark, sf_dir):
+    """Missing files are dropped, and those that lost their pixels."""
+    folder, _ = A.picture_files(spark, sf_dir)
+    local = A.picture_examples(spark, sf_dir).withColumn("images", A.rewrite_prefix(F.col("images"), A.REMOTE, folder))
+    refs = local.select(F.explode("images").alias("path"))
+    kept = I.keep_existing_images(local, I.readable_images(refs), "doc_id")
+    names = F.transform("images", lambda p: F.regexp_extract(p, r"([0-9]+)\.pam$", 1))
+    return kept.select(
+        "doc_id",
+        messages_hash(F.col("messages")).alias("messages"),
+        F.size("images").alias("n_images"),
+        F.array_join(names, ",").alias("images"),
+    )
+
+
 @query(
     "scan_image_files",
     f"""WITH {sql.PICTURES}

@@ -155,3 +155,39 @@ def test_number_by_ranges(spark):
     assert [r["id"] for r in sorted(got, key=lambda r: r["place"])] == expected
     assert sorted(r["place"] for r in got) == list(range(5000))
     assert number_by_ranges(df.limit(0), [F.asc("id")], "place").count() == 0
+
+
+@pytest.mark.parametrize("digits", [1, 2, 4])
+@pytest.mark.parametrize("micro_batch", [1, 2, 7])
+def test_batches_collated_in_their_blocks(spark, digits, micro_batch):
+    """Whatever the blocks, the batches are those of the operators one by one."""
+    from stepmark.functions.labels import mask_keep
+
+    rows = [(i, [i % 5] * (i % 9 + 1), [f"{i}.png"] if i % 4 else None) for i in range(400)]
+    df = spark.createDataFrame(rows, "key bigint, ids array<int>, images array<string>").repartition(5)
+    plan = B.BatchPlan(micro_batch=micro_batch, accumulation=2, devices=2)
+    label = lambda ids: mask_keep(ids, [1, 2])
+    one_by_one = B.pad_to_longest(B.assign_batch(B.global_index(df, "key"), plan), 99).withColumn("labels", label(F.col("ids")))
+    expected = B.batch_collate(one_by_one, key="key", images="images")
+    got = B.collated_batches(df, "key", 99, label, plan, "images", digits=digits)
+    assert got.columns == expected.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+    assert B.collated_batches(df.limit(0), "key", 99, label, plan).count() == 0
+
+
+def test_ids_are_exchanged_once(spark):
+    """One exchange by block, read by both halves, and one behind the filter of border batches."""
+    from stepmark.functions.labels import mask_keep
+
+    df = spark.range(20_000).selectExpr("id AS key", "array(1, 2, int(id % 7)) AS ids")
+    batches = B.collated_batches(df, "key", 99, lambda ids: mask_keep(ids, [1]), B.BatchPlan(2, 1, 1), digits=1)
+    batches.collect()
+    plan = batches._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    of_ids = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "Reused" not in line]
+    by_block = [line for line in of_ids if "hashpartitioning(_block" in line]
+    by_batch = [line for line in of_ids if "hashpartitioning(micro_batch" in line]
+    assert by_batch and len(by_batch) == 1 and not any("_block" in line and "micro_batch" in line for line in of_ids)
+    assert len(by_block) == 2, "the ids, and the counts of the blocks"
+    assert any("ReusedExchange" in line and "ids" in line for line in plan.splitlines())
+    border = B.collated_batches(df, "key", 99, lambda ids: mask_keep(ids, [1]), B.BatchPlan(2, 1, 1), digits=1)
+    assert border.count() == 10_000

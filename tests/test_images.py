@@ -316,3 +316,12 @@ def test_resize_with_sides_of_its_own(spark, pictures):
     sizes = requested_size(*(F.col(c) for c in ("height", "width", "rh", "rw", "low", "high")))
     got = {r["path"][-5:]: (r["height"], r["width"], len(r["data"])) for r in I.resized_files(paths, sizes=sizes).collect()}
     assert got == {"c.ppm": (56, 140, 56 * 140 * 3), "g.pgm": (28, 28, 28 * 28 * 3)}
+
+
+def test_keep_readable_images(spark, pictures):
+    root, _ = pictures
+    names = ["c.ppm", "cut.ppm", "gone.ppm", "c.ppm", "a.pam", "none.ppm"]
+    df = frame(spark, [(1, [f"{root}/{n}" for n in names], FIVE), (2, [f"{root}/cut.ppm"], FIVE), (3, [], FIVE)])
+    readable = I.readable_images(df.select(F.explode("images").alias("path")))
+    kept = {r["id"]: [p.removeprefix(f"{root}/") for p in r["images"]] for r in I.keep_existing_images(df, readable, "id").collect()}
+    assert kept == {1: ["c.ppm", "c.ppm", "a.pam"], 2: [], 3: []}
