@@ -78,9 +78,9 @@ def align_texts(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id
 
 @contextmanager
 def _small_batches(spark: SparkSession) -> Iterator[None]:
-    """Fewer rows per batch while whole texts are read: beside two tokenizers and the pieces that a
-    worker keeps, batches of the default number of rows are tens of megabytes in one array, in the
-    reader, on the way to the worker and in the worker."""
+    """Fewer rows per batch while whole texts, or the links of whole texts, are read: beside two
+    tokenizers and the pieces that a worker keeps, batches of the default number of rows are tens of
+    megabytes in one array, in the reader, on the way to the worker and in the worker."""
     usual = {name: spark.conf.get(name) for name in BATCH_ROWS}
     try:
         for name in BATCH_ROWS:
@@ -112,7 +112,7 @@ def link_counts(aligned: DataFrame, n_b: int) -> DataFrame:
         def put():
             return pa.RecordBatch.from_arrays([pa.array(links, pa.int32()), pa.array(n, pa.int64())], ["link", "n"])
 
-        for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
+        for batch in batches:
             new, times = np.unique(_links(batch)[0], return_counts=True)
             every, where = np.unique(np.concatenate([links, new]), return_inverse=True)
             n = np.bincount(where, weights=np.concatenate([n, times]), minlength=len(every)).astype(np.int64)
@@ -138,13 +138,14 @@ def align(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id", tex
     """
     aligned = align_texts(docs, path_a, path_b, doc_id, text)
     both = aligner(path_a, path_b)
-    counts = link_counts(aligned, both.n_b).toArrow().sort_by("link")
+    with _small_batches(docs.sparkSession):
+        counts = link_counts(aligned, both.n_b).toArrow().sort_by("link")
     if counts.num_rows > most_pairs(both):
         raise RuntimeError("more links than the vocabularies allow")
     known, n, best = (counts[c].to_numpy() for c in ("link", "n", "best"))
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
+        for batch in batches:
             links, offsets = _links(batch)
             at = np.searchsorted(known, links)
             n_links = pa.array(np.diff(offsets), pa.int64())
@@ -155,7 +156,8 @@ def align(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id", tex
             )
 
     schema = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
-    return aligned.mapInArrow(look_up, schema)
+    with _small_batches(docs.sparkSession):
+        return through_table(aligned.mapInArrow(look_up, schema), "counted")
 
 
 def default_tokenizers() -> tuple[str, str]:
