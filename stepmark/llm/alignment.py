@@ -28,7 +28,7 @@ from stepmark.llm.common import pick, through_table
 from stepmark.llm.pieces import Aligner, aligner
 
 #: Texts that are aligned together, and rows of a task's counts that are kept before they go on.
-TEXTS, WAITING = 64, 1_000_000
+TEXTS, WAITING = 128, 1_000_000
 #: Rows of a batch of texts, and the settings that say so.
 ROWS = 256
 BATCH_ROWS = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")

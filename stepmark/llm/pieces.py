@@ -19,7 +19,7 @@ MARKS = ",.;:!?"
 PIECE = re.compile(rf"(?<=\S)(?= )|(?<=[0-9A-Za-zÀ-ÖØ-öø-ɏ])(?=[{MARKS}](?: |\Z))")
 JOINING = re.compile(rf"[^▁]▁|[0-9A-Za-zÀ-ÖØ-öø-ɏ][{MARKS}]")
 #: Pieces, and their characters, that a worker keeps, twice: those used lately and those before.
-MOST_CACHED, MOST_CHARS = 120_000, 8_000_000
+MOST_CACHED, MOST_CHARS = 220_000, 16_000_000
 #: Pieces that are encoded as one text.
 JOINED = 512
 
