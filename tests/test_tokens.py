@@ -50,6 +50,15 @@ def test_lookup_by_join_with_hot_tokens(spark, vocab):
     assert by_id(joined, "ids") == {i: [1] * 50 + [i % 5, -1] for i in range(40)}
 
 
+def test_lists_of_a_joined_lookup_are_not_shuffled(spark, vocab):
+    rows = [(i, None if i % 9 == 4 else ["b"] * (i % 5) + [WORDS[i % 5], "zz", None]) for i in range(40)]
+    df = spark.createDataFrame(rows, "id bigint, tokens array<string>").coalesce(3)
+    joined = T.lookup_by_join(df, vocab, "id", "tokens", "token", "ids", "token_id", F.lit(-1), rows_per_task=7)
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    known = {w: i for i, w in enumerate(WORDS)}
+    assert by_id(joined, "ids") == {i: t if t is None else [known.get(w, -1) for w in t] for i, t in rows}
+
+
 @pytest.mark.parametrize("limit", [1_000_000, 3])
 def test_reverse_lookup(spark, vocab, monkeypatch, limit):
     monkeypatch.setattr(T, "MAX_BROADCAST_TOKENS", limit)
