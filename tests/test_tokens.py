@@ -92,6 +92,15 @@ def test_plugin_tokenizer(spark):
     assert [r[0] for r in df.select(encode("text")).collect()] == [[1, 2], []]
 
 
+def test_plugin_tokenizer_gets_few_texts_at_once(spark):
+    encode = T.tokenizer_plugin(lambda: lambda texts: [[len(t or "")] + sorted(len(s or "") for s in texts) for t in texts])
+    sizes = [600_000, 0, 700_000, 3_000_000, 500_000, 400_000]
+    df = spark.range(7, numPartitions=1).select("id", F.expr(f"repeat('x', array({', '.join(map(str, sizes))}, null)[int(id)])").alias("text"))
+    got = by_id(df.select("id", encode("text").alias("ids")), "ids")
+    assert [got[i][0] for i in range(7)] == [*sizes, 0]
+    assert max(sum(ids[1:-1]) for ids in got.values()) <= T.PLUGIN_CHARACTERS  # without the longest text of a call
+
+
 @pytest.fixture(scope="module")
 def labelled(spark, vocab):
     df = T.vocab_lookup(rendered_text(frame(spark, [(1, [], FIVE)])), vocab, "id").select("id", "ids")
