@@ -59,6 +59,23 @@ def test_lists_of_a_joined_lookup_are_not_shuffled(spark, vocab):
     assert by_id(joined, "ids") == {i: t if t is None else [known.get(w, -1) for w in t] for i, t in rows}
 
 
+def test_lookups_that_share_blocks_write_the_rows_once(spark, vocab, monkeypatch):
+    monkeypatch.setattr(T, "MAX_BROADCAST_TOKENS", 3)
+    written = []
+    through_table = T.through_table
+    monkeypatch.setattr(T, "through_table", lambda df, name, **how: written.append(name) or through_table(df, name, **how))
+    rows = [(i, None if i % 9 == 4 else ["b"] * (i % 5) + [WORDS[i % 5], "zz", None]) for i in range(40)] + [(99, [])]
+    df = T.in_blocks(spark.createDataFrame(rows, "id bigint, tokens array<string>").coalesce(3), "block", 7)
+    # The blocks hold wherever their rows lie later.
+    encoded = T.vocab_lookup(df.repartition(5, "id"), vocab, "id", block="block").drop("tokens")
+    decoded = R.decoded_text(encoded, vocab, "id", block="block")
+    assert written == ["blocks"]
+    known = {w: i for i, w in enumerate(WORDS)}
+    assert by_id(decoded, "ids") == {i: t if t is None else [known.get(w, -1) for w in t] for i, t in rows}
+    words = {i: t if t is None else " ".join(w if w in known else "<UNKNOWN:-1>" for w in t) for i, t in rows}
+    assert by_id(decoded, "decoded_text") == words
+
+
 @pytest.mark.parametrize("limit", [1_000_000, 3])
 def test_reverse_lookup(spark, vocab, monkeypatch, limit):
     monkeypatch.setattr(T, "MAX_BROADCAST_TOKENS", limit)
