@@ -17,21 +17,19 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stepmark.llm.common import pick, through_table
+from stepmark.llm.common import pick, small_batches, through_table
 from stepmark.llm.pieces import Aligner, aligner
 
 #: Texts that are aligned together, and rows of a task's counts that are kept before they go on.
 TEXTS, WAITING = 128, 1_000_000
-#: Rows of a batch of texts, and the settings that say so.
+#: Rows of a batch of texts, or of the links of texts: few, beside two tokenizers and the pieces a worker keeps.
 ROWS = 256
-BATCH_ROWS = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
 ALIGNED = "doc_id long, n_a long, n_b long, groups_sha256 string, links binary"
 
 
@@ -72,25 +70,10 @@ def align_texts(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id
         aligner(path_a, path_b).clear()  # the worker lives on
 
     rows = pick(docs, doc_id=doc_id, text=text).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    with _small_batches(docs.sparkSession):
+    with small_batches(docs.sparkSession, ROWS):
         return through_table(rows.mapInArrow(work, ALIGNED), "aligned")
 
 
-@contextmanager
-def _small_batches(spark: SparkSession) -> Iterator[None]:
-    """Fewer rows per batch while whole texts, or the links of whole texts, are read: beside two
-    tokenizers and the pieces that a worker keeps, batches of the default number of rows are tens of
-    megabytes in one array, in the reader, on the way to the worker and in the worker."""
-    usual = {name: spark.conf.get(name) for name in BATCH_ROWS}
-    try:
-        for name in BATCH_ROWS:
-            spark.conf.set(name, str(ROWS))
-        yield
-    finally:
-        for name, value in usual.items():
-            spark.conf.set(name, value)
-
-
 def _links(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """All links of a batch, and where those of each document begin and end."""
     lists = batch["links"].to_pylist()
@@ -138,7 +121,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id", tex
     """
     aligned = align_texts(docs, path_a, path_b, doc_id, text)
     both = aligner(path_a, path_b)
-    with _small_batches(docs.sparkSession):
+    with small_batches(docs.sparkSession, ROWS):
         counts = link_counts(aligned, both.n_b).toArrow().sort_by("link")
     if counts.num_rows > most_pairs(both):
         raise RuntimeError("more links than the vocabularies allow")
@@ -156,7 +139,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id", tex
             )
 
     schema = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
-    with _small_batches(docs.sparkSession):
+    with small_batches(docs.sparkSession, ROWS):
         return through_table(aligned.mapInArrow(look_up, schema), "counted")
 
 

@@ -12,14 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stepmark.llm import shingles
-from stepmark.llm.common import components, in_groups, local_roots, pick, through_table
+from stepmark.llm.common import components, in_groups, local_roots, pick, small_batches, through_table
 
 #: Share of pairs at the threshold itself that the bands must bring together.
 RECALL = 0.99999
 MOST_HASHES = 128
 #: Members of a cluster that one task compares with as many others.
 BLOCK = 1024
-TEXTS, COLUMNS = 128, 8192
+TEXTS, ROWS, COLUMNS = 128, 512, 8192
 SEED = 20_240_501
 
 
@@ -161,7 +161,8 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", th
     """
     bands, rows = banding(threshold)
     docs = pick(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
-    prints = through_table(_fingerprints(docs, width, bands, rows), "prints")
+    with small_batches(docs.sparkSession, ROWS):
+        prints = through_table(_fingerprints(docs, width, bands, rows), "prints")
     usable = prints.where("key is not null and doc_id is not null")
     first = F.min(F.struct("doc_id", "bands")).alias("first")
     nodes = usable.groupBy("key").agg(first, F.count("*").alias("copies"))
@@ -181,7 +182,8 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", th
     sets = _with_sets(docs.join(wanted, "doc_id").select("text", "key", "node", "copies", "clusters", "tasks"), width)
     work = sets.select("node", "copies", "clusters", "grams", F.explode("tasks").alias("t")).select("node", "copies", "clusters", "grams", "t.*")
     work = work.repartition("cluster", "lo", "hi").sortWithinPartitions("cluster", "lo", "hi")
-    found = through_table(work.mapInPandas(lambda it: _verified(it, threshold), "node long, links long, root long"), "found")
+    with small_batches(docs.sparkSession, ROWS):
+        found = through_table(work.mapInPandas(lambda it: _verified(it, threshold), "node long, links long, root long"), "found")
 
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     reached = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))

@@ -25,10 +25,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from stepmark.llm.common import pick, shared_path, through_table
+from stepmark.llm.common import pick, shared_path, small_batches, through_table
 
 LENGTH, BATCH = 2048, 256
-MOST_CACHED = 1_000_000
+#: Pieces that a worker keeps with the place of their ids, and words of which it keeps the ids themselves.
+MOST_CACHED, MOST_KNOWN = 700_000, 100_000
 #: Texts that are encoded together.
 TEXTS = 1024
 MANIFEST = "part int, path string, n_tokens long, n_docs long"
@@ -76,6 +77,8 @@ class Encoder:
                 if not piece.isascii():
                     letters = unicodedata.normalize("NFC", piece).encode().decode("latin-1").translate(self.letters)
                 found = tuple([t.id for t in self.merge(letters)])
+            if len(self.known) >= MOST_KNOWN:
+                self.known.clear()
             self.known[piece] = found
         return found
 
@@ -114,11 +117,12 @@ class Encoder:
             self.ends[first:last] = used + np.cumsum([*map(len, new)])
         return np.array(found, dtype=np.int64)
 
-    def encode_all(self, texts: list[str]) -> Iterator[np.ndarray]:
+    def encode_all(self, texts: list[str] | pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text; the distinct pieces of all of them are looked up once."""
-        if not texts:
+        if not len(texts):
             return
-        lists = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
+        texts = texts.cast(pa.large_string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         coded = lists.flatten().dictionary_encode()
         at = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
         starts = self.ends[np.maximum(at - 1, 0)]
@@ -188,14 +192,15 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, doc_id: str
 
     Documents are dealt out by ranges of their id and sorted inside; each range is a file pair. A
     task writes under a name of its own attempt and renames at the end, so a task that runs again
-    replaces whole files. Only one batch of 256 sequences of a file is in memory. NULL and empty
+    replaces whole files. Only one batch of 256 sequences of a file is in memory, and a batch of
+    `TEXTS` texts. NULL and empty
     texts have the end id only; NULL ids come first; rows with equal ids follow by their text.
     """
     from tokenizers import Tokenizer
 
     kind = pa.uint16() if Tokenizer.from_file(tokenizer).get_vocab_size() <= 1 << 16 else pa.uint32()
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         part, attempt = context.partitionId(), context.taskAttemptId()
         encode_all = encoder(tokenizer).encode_all
@@ -204,15 +209,15 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, doc_id: str
         name = f"{root}/part-{part:05d}"
         ids, counts, writer, sink = [], [], None, None
         for batch in batches:
-            for at in range(0, len(batch), TEXTS):
-                some = batch.iloc[at : at + TEXTS]
-                for key, found in zip(some["doc_id"], encode_all([t or "" for t in some["text"]]), strict=True):
+            for at in range(0, batch.num_rows, TEXTS):
+                some = batch.slice(at, TEXTS)
+                for key, found in zip(some["doc_id"].to_pylist(), encode_all(pc.fill_null(some["text"], "")), strict=True):
                     if writer is None:
                         sink = fs.open_output_stream(f"{name}.{attempt}.part")
                         writer = _Writer(sink, kind, length, end_id)
                     coded = np.append(found, np.uint32(end_id)).astype(np.uint32)
                     writer.add(coded)
-                    ids.append(None if pd.isna(key) else int(key))
+                    ids.append(key)
                     counts.append(len(coded))
         if writer is None:
             return
@@ -224,11 +229,14 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, doc_id: str
             table.write_table(places, max_chunksize=1 << 16)
         fs.move(f"{name}.{attempt}.part", f"{name}.arrow")
         fs.move(f"{name}.docs.{attempt}.part", f"{name}.docs.arrow")
-        yield pd.DataFrame({"part": [part], "path": [f"{folder}/part-{part:05d}"], "n_tokens": [int(sizes.sum())], "n_docs": [len(sizes)]})
+        of_part = [[part], [f"{folder}/part-{part:05d}"], [int(sizes.sum())], [len(sizes)]]
+        kinds = [pa.int32(), pa.string(), pa.int64(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([*map(pa.array, of_part, kinds)], ["part", "path", "n_tokens", "n_docs"])
 
     rows = pick(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
     ranges = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return through_table(ranges.mapInPandas(write, MANIFEST), "manifest")
+    with small_batches(docs.sparkSession, TEXTS):
+        return through_table(ranges.mapInArrow(write, MANIFEST), "manifest")
 
 
 class TokenFile:
@@ -269,6 +277,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
     """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        _ENCODERS.clear()  # all texts are written: their words are not needed any more in this worker
         for batch in batches:
             for path, before in zip(batch["path"], batch["before"], strict=True):
                 file = TokenFile(path)

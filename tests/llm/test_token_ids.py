@@ -3,6 +3,7 @@
 import random
 import sys
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -46,6 +47,21 @@ def test_few_pieces_are_kept(encoder, monkeypatch):
         same(encoder, [" ".join(rng.choice(["a", "bc", "def.", "Def", "é,", "12"]) for _ in range(rng.randint(0, 9))) for _ in range(4)])
 
 
+def test_few_words_are_kept(encoder, monkeypatch):
+    monkeypatch.setattr(token_files, "MOST_KNOWN", 5)
+    encoder.clear()
+    rng = random.Random(3)
+    for _ in range(50):
+        same(encoder, [" ".join(rng.choice("abcdé") * rng.randint(1, 9) + "." for _ in range(9)), ""])
+        assert 0 < len(encoder.known) <= 5
+
+
+def test_texts_of_an_arrow_array(encoder):
+    texts = pa.array(["gone", "Some words, é.", "", "a\nb"])[1:]
+    got = [ids.tolist() for ids in encoder.encode_all(texts)]
+    assert got == [ids.tolist() for ids in encoder.encode_all(texts.to_pylist())]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.text(max_size=20), max_size=4))
 def test_any_text(encoder, texts):
