@@ -10,7 +10,7 @@ s // 256, so any part is read without decoding the rest.
 from __future__ import annotations
 
 import os
-import unicodedata
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -28,8 +28,15 @@ from pyspark.sql.window import Window as W
 from stepmark.llm.common import pick, shared_path, small_batches, through_table
 
 LENGTH, BATCH = 2048, 256
-#: Pieces that a worker keeps with the place of their ids, and words of which it keeps the ids themselves.
-MOST_CACHED, MOST_KNOWN = 700_000, 100_000
+#: Words that a worker keeps with their ids, and ids of them; beyond either it keeps those of the last texts.
+MOST_KNOWN, MOST_CACHED = 400_000, 4_000_000
+#: Latin letters that are one token run in any case and stay letters once they are normalized, with a
+#: full stop or comma at the end or none. (The capital I with a dot becomes a letter and a sign.)
+LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ſ"
+WORD = f"^[{LETTERS}]+[.,]?$"
+#: What the tokenizer takes apart first, in pieces of these letters and ASCII without an apostrophe.
+RUNS = re.compile(f"[{LETTERS}]+|[0-9]|[^{LETTERS}0-9]+")
+PLAIN = re.compile(f"[{LETTERS}!-&(-~]+")
 #: Texts that are encoded together.
 TEXTS = 1024
 MANIFEST = "part int, path string, n_tokens long, n_docs long"
@@ -48,8 +55,9 @@ class Encoder:
     """Ids of whole texts, equal to the tokenizer's, each distinct word encoded once.
 
     This tokenizer drops white space and never joins across it, so a text is the sum of the
-    pieces between spaces. A piece of Latin letters goes to the merges directly, a full stop or
-    comma after letters is looked up by itself; any other piece takes the tokenizer's whole way.
+    pieces between spaces. A piece of Latin letters, in lower case and without a full stop or comma
+    at its end, is a word that goes to the merges directly; the mark is a token by itself. A piece of
+    such letters and other ASCII is taken apart into runs; any other takes the tokenizer's whole way.
     """
 
     def __init__(self, path: str):
@@ -59,63 +67,62 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.merge = self.tokenizer.model.tokenize
         self.letters = _byte_letters()
+        self.marks = [(m, self.merge(m)[0].id) for m in ".,"]
         self.clear()
 
     def clear(self) -> None:
-        self.places: dict[str, int] = {"": 0}
-        self.known: dict[str, tuple[int, ...]] = {}  # tuples of numbers are no work for the collector
-        self.flat = np.zeros(1 << 16, dtype=np.uint32)
-        self.ends = np.zeros(1 << 16, dtype=np.int64)  # of the ids of each piece; the first is empty
-
-    def _ids(self, piece: str) -> tuple[int, ...]:
-        found = self.known.get(piece)
-        if found is None:
-            if not piece.isalpha() or (not piece.isascii() and max(piece) >= "ɐ"):
-                found = tuple(self.tokenizer.encode(piece, add_special_tokens=False).ids)
-            else:
-                letters = piece
-                if not piece.isascii():
-                    letters = unicodedata.normalize("NFC", piece).encode().decode("latin-1").translate(self.letters)
-                found = tuple([t.id for t in self.merge(letters)])
-            if len(self.known) >= MOST_KNOWN:
-                self.known.clear()
-            self.known[piece] = found
+        self.known = pa.array([], pa.large_string())  # in an Arrow array a word takes its bytes, not an object
+        self.flat = np.zeros(0, dtype=np.uint32)
+        self.ends = np.zeros(1, dtype=np.int64)  # the ids of word i are flat[ends[i] : ends[i + 1]]
+
+    def _word(self, word: str) -> list[int]:
+        """The ids of one run in lower case: letters are spelled by their bytes."""
+        return [t.id for t in self.merge(word if word.isascii() else word.encode().decode("latin-1").translate(self.letters))]
+
+    def _piece(self, piece: str) -> list[int]:
+        if "<|" not in piece and PLAIN.fullmatch(piece):  # names of special tokens stay as they are
+            return [*chain.from_iterable(map(self._word, RUNS.findall(piece.lower())))]
+        return self.tokenizer.encode(piece, add_special_tokens=False).ids
+
+    def _places(self, words: pa.Array, plain: np.ndarray) -> np.ndarray:
+        """The place of each of some distinct words; those not known yet are encoded."""
+        found = pc.index_in(words, self.known)
+        missing = found.is_null()
+        found = pc.fill_null(found, 0).to_numpy().astype(np.int64)
+        if missing.true_count:
+            new = words.filter(missing)
+            places = np.flatnonzero(missing.to_numpy(zero_copy_only=False))
+            found[places] = np.arange(len(self.known), len(self.known) + len(new))
+            ids, ends = [], []
+            for word, letters in zip(new.to_pylist(), plain[places].tolist(), strict=True):
+                ids += self._word(word) if letters else self._piece(word)
+                ends.append(len(ids))
+            self.ends = np.append(self.ends, np.array(ends, dtype=np.int64) + len(self.flat))
+            self.flat = np.append(self.flat, np.array(ids, dtype=np.uint32))
+            self.known = pa.concat_arrays([self.known, new])
         return found
 
-    def _new(self, piece: str) -> tuple[int, ...]:
-        """The ids of a piece. A mark at its end is a token of its own after letters that are still
-        letters once they are normalized: some become a letter and a sign that joins the mark."""
-        latin = piece.isascii() or max(piece) < "ɐ"
-        if latin and "<|" not in piece:  # names of special tokens stay as they are
-            piece = piece.lower()
-        last = piece[-1]
-        if last == "." or last == ",":
-            head = piece[:-1]
-            if head.isalpha() and (latin or unicodedata.normalize("NFC", head).lower().isalpha()):
-                return self._ids(head) + self._ids(last)
-        return self._ids(piece)
-
-    def _places(self, pieces: list[str]) -> np.ndarray:
-        """The place of each of some distinct pieces; those not known yet are encoded."""
-        if len(self.places) > MOST_CACHED:
-            self.clear()
-        found = [*map(self.places.get, pieces)]
-        missing = [i for i, place in enumerate(found) if place is None]
-        if missing:
-            first, last = len(self.places), len(self.places) + len(missing)
-            new = [self._new(pieces[i]) for i in missing]
-            self.places.update(zip([pieces[i] for i in missing], range(first, last), strict=True))
-            for place, i in enumerate(missing, first):
-                found[i] = place
-            ids = [*chain.from_iterable(new)]
-            used = int(self.ends[first - 1])
-            if used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), dtype=np.uint32)])
-            if last > len(self.ends):
-                self.ends = np.concatenate([self.ends, np.zeros(max(len(self.ends), len(missing)), dtype=np.int64)])
-            self.flat[used : used + len(ids)] = ids
-            self.ends[first:last] = used + np.cumsum([*map(len, new)])
-        return np.array(found, dtype=np.int64)
+    def _pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Of distinct pieces the place of the word, and the id of the mark at the end (0: none)."""
+        plain = pc.match_substring_regex(pieces, WORD)
+        coded = pc.if_else(plain, pc.utf8_rtrim(pc.utf8_lower(pieces), ".,"), pieces).dictionary_encode()
+        plain, word = plain.to_numpy(zero_copy_only=False), coded.indices.to_numpy()
+        letters = np.zeros(len(coded.dictionary), dtype=bool)
+        letters[word] = plain
+        mark = np.zeros(len(pieces), dtype=np.uint32)
+        for character, token in self.marks:
+            mark[plain & pc.ends_with(pieces, character).to_numpy(zero_copy_only=False)] = token
+        return self._places(coded.dictionary, letters)[word], mark
+
+    def _forget(self, used: np.ndarray) -> None:
+        """Keep the words at the places `used` only, as many as may be kept."""
+        used = np.unique(used)
+        n = self.ends[used + 1] - self.ends[used]
+        few = min(MOST_KNOWN, int(np.searchsorted(np.cumsum(n), MOST_CACHED, side="right")))
+        used, n = used[:few], n[:few]
+        ends = np.append(0, np.cumsum(n))
+        self.flat = self.flat[np.repeat(self.ends[used] - ends[:-1], n) + np.arange(ends[-1])]
+        self.known, self.ends = self.known.take(pa.array(used)), ends
 
     def encode_all(self, texts: list[str] | pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text; the distinct pieces of all of them are looked up once."""
@@ -124,11 +131,15 @@ class Encoder:
         texts = texts.cast(pa.large_string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
         lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         coded = lists.flatten().dictionary_encode()
-        at = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
-        starts = self.ends[np.maximum(at - 1, 0)]
-        n = self.ends[at] - starts
+        at, mark = self._pieces(coded.dictionary)
+        piece, starts = coded.indices.to_numpy(), self.ends[at]
+        n = (self.ends[at + 1] - starts + (mark > 0))[piece]
         before = np.append(0, np.cumsum(n))
-        ids = self.flat[np.repeat(starts - before[:-1], n) + np.arange(before[-1])]
+        ids = self.flat.take(np.repeat(starts[piece] - before[:-1], n) + np.arange(before[-1]), mode="clip")
+        mark = mark[piece]
+        ids[before[1:][mark > 0] - 1] = mark[mark > 0]  # there the first id of the next word was taken
+        if len(self.known) > MOST_KNOWN or len(self.flat) > MOST_CACHED:
+            self._forget(at)
         cuts = before[np.asarray(lists.offsets)].tolist()
         for a, b in zip(cuts, cuts[1:], strict=False):
             yield ids[a:b]

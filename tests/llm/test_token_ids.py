@@ -62,6 +62,32 @@ def test_texts_of_an_arrow_array(encoder):
     assert got == [ids.tolist() for ids in encoder.encode_all(texts.to_pylist())]
 
 
+def test_a_word_is_kept_once(encoder):
+    encoder.clear()
+    same(encoder, ["Word WORD. wörd,\nWÖRD word", "word, Wörd."])
+    assert encoder.known.to_pylist() == ["word", "wörd"], "in any case, with any mark"
+
+
+def test_the_words_of_the_last_texts_stay(encoder, monkeypatch):
+    monkeypatch.setattr(token_files, "MOST_KNOWN", 3)
+    encoder.clear()
+    same(encoder, ["a b c"])
+    same(encoder, ["c. D, c"])
+    assert sorted(encoder.known.to_pylist()) == ["c", "d"]
+    same(encoder, ["a b c d e, f"])
+    monkeypatch.setattr(token_files, "MOST_CACHED", 2)
+    same(encoder, ["aa, bb. cc", "dd"])
+    assert len(encoder.flat) <= 2
+
+
+def test_letters_digits_and_marks_in_one_piece(encoder):
+    rng = random.Random(5)
+    pool = [*"abcXYZéÉßſİıŉªµ×÷ŸĲǅȺ", *"0123456789", *".,!?$%&*-_<|>()[]{}\"'`~^+=/\\@#:;", "<|endoftext|>", "'s", "'LL", "\u0301", "ж", "\x00", "\x7f", "\xa0"]
+    made = ["".join(rng.choice(pool) for _ in range(rng.randint(1, 9))) for _ in range(20_000)]
+    same(encoder, made)
+    same(encoder, [" ".join(made[i : i + 20]) for i in range(0, len(made), 20)])
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.text(max_size=20), max_size=4))
 def test_any_text(encoder, texts):
