@@ -68,6 +68,15 @@ def test_a_word_is_kept_once(encoder):
     assert encoder.known.to_pylist() == ["word", "wörd"], "in any case, with any mark"
 
 
+def test_a_worker_keeps_few_bytes_a_word(encoder):
+    encoder.clear()
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefgé") for _ in range(9)) for _ in range(5000)]
+    same(encoder, [" ".join(f"{w} {w.title()}. {w.upper()}," for w in words)])
+    assert len(encoder.known) == len(set(words))
+    assert encoder.known.nbytes + encoder.flat.nbytes + encoder.ends.nbytes < 80 * len(words)
+
+
 def test_the_words_of_the_last_texts_stay(encoder, monkeypatch):
     monkeypatch.setattr(token_files, "MOST_KNOWN", 3)
     encoder.clear()
