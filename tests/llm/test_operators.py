@@ -341,6 +341,32 @@ def test_embeddings(spark, monkeypatch):
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_embeddings_are_compared_about_once_a_block():
+    units = np.random.default_rng(8).normal(size=(1500, 64))
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    cells = embedding_dedup.Blocks.of(units, 0.9).cells(units).T
+    met = sum(int((abs(c[:, None] - c[None, :]) <= 1).sum()) for c in cells)
+    assert met <= 2 * len(units) ** 2, "pairs of the same or neighbouring cells, in all blocks"
+
+
+@pytest.mark.parametrize("dims", [64, 100])
+def test_embeddings_in_several_blocks(spark, monkeypatch, dims):
+    monkeypatch.setattr(embedding_dedup, "PIECE", 40)
+    monkeypatch.setattr(embedding_dedup, "TILE", 16)
+    rng = np.random.default_rng(dims)
+    seeds = rng.normal(size=(30, dims))
+    x = seeds[rng.integers(0, 30, 250)] + rng.normal(size=(250, dims)) * rng.uniform(0.1, 0.45, (250, 1))
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = (u @ u.T >= 0.9) & ~np.eye(250, dtype=bool)
+    assert 300 < linked.sum() < 10_000
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.near_duplicates(df).collect()}
+    least = np.arange(250)
+    for _ in range(250):
+        least = np.minimum(least, np.where(linked, least[None, :], 250).min(axis=1))
+    assert got == {i: (int(linked[i].sum()), int(least[i])) for i in range(250)}
+
+
 def test_token_files(spark, docs, rows, empty, tmp_path):
     tokenizers = pytest.importorskip("tokenizers")
     path = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
