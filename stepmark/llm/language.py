@@ -167,6 +167,10 @@ def with_guess(docs: DataFrame, model: Classifier | None, text: str = "text") ->
 
     The score is the softmax of the one-versus-rest outputs (scale 4), 0 for `und`: text that
     is NULL or has no letter, or any text if there was nothing to learn from.
+
+    The function is marked as nondeterministic, though it is not: else Spark moves a filter on
+    `__guess` below the projection and scores each text twice, in two Python workers a task. So
+    filters on other columns stay above it too: put them on `docs`.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)  # bounded by the n-grams of the landmarks
@@ -188,4 +192,4 @@ def with_guess(docs: DataFrame, model: Classifier | None, text: str = "text") ->
                 sure[rows] = (raised / raised.sum(axis=1, keepdims=True))[np.arange(len(rows)), best]
             yield pd.DataFrame({"lang_pred": labels, "score": sure})
 
-    return docs.withColumn("__guess", guess(F.col(f"`{text}`")))
+    return docs.withColumn("__guess", guess.asNondeterministic()(F.col(f"`{text}`")))

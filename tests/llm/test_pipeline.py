@@ -93,6 +93,15 @@ def test_stages_keep_columns_of_any_name(spark, planted):
     assert {(r["score"], r["lang_pred"]) for r in guessed.collect()} == {(0.25, "p")}
 
 
+def test_each_text_is_scored_once(spark, planted):
+    docs = spark.createDataFrame(planted[0], SCHEMA)
+    told = corpus_pipeline.identify_language(spark, docs, "")
+    assert told._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1, "a second one is a second worker a task"
+    guessed = language.predict(docs, language.train(docs, F.lit(True))).where("lang_pred <> 'und' and score > 0.1")
+    assert guessed._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert {r["doc_id"] for r in guessed.collect()} == {r[0] for r in planted[0] if r[1] and any(map(str.isalpha, r[1]))}
+
+
 @pytest.mark.parametrize(
     ("page", "expected"),
     [
